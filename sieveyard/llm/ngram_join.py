@@ -10,8 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .blocks import block_components, shared_blocks
 from .common import words, written
-from .components import connected_components
 
 _MULTIPLIERS = np.random.default_rng(5).integers(1, 2**63, 64, dtype=np.uint64) | np.uint64(1)
 _SLICES = 64
@@ -164,7 +164,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     Method: equal sets first become one node. The incidence matrix keeps each node's prefix of
     rarest n-grams, whose length follows from the size bound. Its product with itself is taken block
     by block (a block: the nodes of one n-gram). Nodes of one block that are already connected need
-    no entry of the product, so each round multiplies a block's first node with those it isn't yet
+    no entry of the product, so each round multiplies one node of a block with those it isn't yet
     connected to, keeps pairs within the size bound, counts their exact overlaps, and joins
     components; the last round takes all entries that are left. The product is thus exact up to
     links inside a component, and large groups of copies cost a multiple of their size, not its square.
@@ -181,32 +181,13 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     # equal sets: one node each, with a number that stays as it is written down
     nodes = sets.filter("n > 0").groupBy("digest").agg(F.min("id").alias("id"), F.max("n").alias("n"))
     nodes = written(nodes.withColumn("node", F.monotonically_increasing_id()), "jaccard-nodes")
-    index = _incidence(own, nodes, frequency, size, sketch_bits, percent).repartition("key")
-    shared = index.groupBy("key").agg(F.count("*").alias("times")).filter("times > 1")
-    index = written(index.join(shared.select("key"), "key"), "jaccard-index")
+    index = shared_blocks(_incidence(own, nodes, frequency, size, sketch_bits, percent))
     members = index.select("node").distinct().join(nodes, "node")
     ids = members.groupBy("id").agg(F.collect_list(F.struct("digest", "node")).alias("own"))
-    texts = written(own.join(ids, own["__id"].eqNullSafe(ids["id"])).select(F.explode("own").alias("o"), F.col("__text").alias("text")).select("o.*", "text"), "jaccard-texts")
-    texts = _right_texts(texts, size)
-    comp, links = None, None
-    for r in range(rounds):
-        block = index.withColumn("comp", F.col("node")) if comp is None else index.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-        hub = F.min(F.struct(F.xxhash64("node", F.lit(r)), "node", "n", "comp"))
-        if r:  # blocks within one component are done
-            block = written(block, "jaccard-block")
-            open_keys = block.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low < high").select("key")
-            block = block.join(open_keys, "key")
-        if r < rounds - 1:
-            hubs = block.groupBy("key").agg(hub.alias("hub")).select("key", F.col("hub.node").alias("a"), F.col("hub.n").alias("na"), F.col("hub.comp").alias("ca"))
-        else:
-            hubs = block.select("key", F.col("node").alias("a"), F.col("n").alias("na"), F.col("comp").alias("ca"))
-        fits = (F.lit(100) * F.least("n", "na") >= F.lit(percent) * F.greatest("n", "na")) & (F.col("ca") != F.col("comp"))
-        if r == rounds - 1:
-            fits &= F.col("a") < F.col("node")
-        pairs = block.join(hubs, "key").filter(fits).select("a", F.col("node").alias("b")).distinct()
-        found = written(_overlaps(pairs, texts, size, percent).filter("linked").select("a", "b"), "jaccard-links")
-        links = found if links is None else links.unionByName(found)
-        comp = connected_components(links)
+    texts = own.join(ids, own["__id"].eqNullSafe(ids["id"])).select(F.explode("own").alias("o"), F.col("__text").alias("text")).select("o.*", "text")
+    texts = written(_right_texts(texts, size), "jaccard-texts")
+    bound = lambda a, b: F.lit(100) * F.least(a("n"), b("n")) >= F.lit(percent) * F.greatest(a("n"), b("n"))
+    comp = block_components(index, ["n"], bound, lambda pairs: _overlaps(pairs, texts, size, percent).filter("linked"), rounds)
     out = nodes.join(comp, "node", "left").select("digest", F.coalesce("comp", "node").alias("comp"), "id")
     low = out.groupBy("comp").agg(F.min("id").alias("component_id"))
     label = out.join(low, "comp").select("digest", "component_id")

@@ -12,9 +12,15 @@ from .mixing import mix
 from .ngram_join import jaccard_components
 from .personal import KINDS, find_personal_data
 from .quality import judge
+from .simhash import edited_fingerprints
+from .substrings import repeated_passages
 from .tokenizer import encode_decode
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_personal_data(table(spark, sf_dir, "documents"))
     names = F.array(*[F.lit(k) for k in KINDS])
@@ -30,6 +36,10 @@ def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -54,7 +64,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_personal_data, op4_ngram_jaccard, op8_quality_rules, op9_source_mix, op10_byte_bpe, pipeline)
+    f.__name__: f for f in (op1_substring_dedup, op2_personal_data, op4_ngram_jaccard, op6_simhash, op8_quality_rules, op9_source_mix, op10_byte_bpe, pipeline)
 }
 
 ORACLE_SQL: dict[str, str] = {
