@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
+from .html_text import extract_main_text
 from .mixing import mix
 from .ngram_join import jaccard_components
 from .personal import KINDS, find_personal_data
@@ -15,6 +16,7 @@ from .quality import judge
 from .simhash import edited_fingerprints
 from .substrings import repeated_passages
 from .tokenizer import encode_decode
+from .url_filter import filter_urls
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,6 +34,10 @@ def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(listed("base"), 256).alias("base_sha256"), listed("spans").alias("spans"))
 
 
+def op3_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_urls(table(spark, sf_dir, "pages"))
+
+
 def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
@@ -40,6 +46,10 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op7_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -64,7 +74,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_substring_dedup, op2_personal_data, op4_ngram_jaccard, op6_simhash, op8_quality_rules, op9_source_mix, op10_byte_bpe, pipeline)
+    f.__name__: f for f in (op1_substring_dedup, op2_personal_data, op3_url_templates, op4_ngram_jaccard, op6_simhash, op7_main_text, op8_quality_rules, op9_source_mix, op10_byte_bpe, pipeline)
 }
 
 ORACLE_SQL: dict[str, str] = {
