@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import written
@@ -12,23 +13,20 @@ from .components import connected_components
 
 
 def shared_blocks(index: DataFrame) -> DataFrame:
-    """The rows of index (key, node, ...) whose key has two nodes or more; one shuffle by key, written down."""
-    own = index.repartition("key")
-    keys = own.groupBy("key").agg(F.count("*").alias("times")).filter("times > 1").select("key")
-    return written(own.join(keys, "key"), "blocks")
+    """The rows of index (key, node, ...) whose key has two rows or more; one shuffle by key, written down."""
+    return written(index.withColumn("times", F.count("*").over(W.partitionBy("key"))).filter("times > 1").drop("times"), "blocks")
 
 
 def block_components(
-    index: DataFrame, payload: list[str], fits: Callable[[Callable[[str], Column], Callable[[str], Column]], Column], check: Callable[[DataFrame], DataFrame], rounds: int
+    index: DataFrame, payload: list[str], fits: Callable[[Callable[[str], Column], Callable[[str], Column]], Column], check: Callable[[DataFrame], DataFrame], rounds: int, first: tuple[str, ...] = ()
 ) -> DataFrame:
-    """(node, comp) for the nodes that have a link; every pair that shares a key is either checked or already connected.
+    """(node, comp) for the nodes that have a link; every pair that shares a key and fits is either checked or already connected.
 
-    index: key, node and payload columns, only keys of two nodes or more. fits(a, b) is a cheap
-    condition on two rows' payloads that every link meets; check(pairs of a, b and their payloads as
-    a_*, b_*) returns the linked (a, b).
+    index: key, node and payload columns. fits(a, b) is a cheap condition on two rows' payloads that
+    every link meets under one of its keys at least; check(pairs of a, b) returns the linked ones.
 
-    A round takes one node of each open block (the same one in many blocks, by a hash of the node and
-    the round) and checks it against the block's nodes of other components; the last round checks
+    A round takes one node of each open block (the least by the columns `first`, then by a hash of the
+    node and the round, so that many blocks take the same one) and checks it against the block's nodes of other components; the last round checks
     all pairs of a block that are still in different components. Blocks within one component are
     done. A group of copies so costs a few pairs for each member.
     """
@@ -45,15 +43,12 @@ def block_components(
         if last:
             hubs = block.select("key", ours.alias("hub"))
         else:
-            hubs = block.groupBy("key").agg(F.min_by(ours, F.struct(F.xxhash64("node", F.lit(r)), "node")).alias("hub"))
+            hubs = block.groupBy("key").agg(F.min_by(ours, F.struct(*first, F.xxhash64("node", F.lit(r)), "node")).alias("hub"))
         a, b = (lambda c: F.col(f"hub.{c}")), (lambda c: F.col(c))
         keep = fits(a, b) & (a("comp") != b("comp"))
         if last:
             keep &= a("node") < b("node")
-        low = lambda c: F.when(a("node") < b("node"), a(c)).otherwise(b(c))
-        high = lambda c: F.when(a("node") < b("node"), b(c)).otherwise(a(c))
-        ends = [F.least(a("node"), b("node")).alias("a"), F.greatest(a("node"), b("node")).alias("b")]
-        pairs = block.join(hubs, "key").filter(keep).select(*ends, *[low(c).alias(f"a_{c}") for c in payload], *[high(c).alias(f"b_{c}") for c in payload]).distinct()
+        pairs = block.join(hubs, "key").filter(keep).select(F.least(a("node"), b("node")).alias("a"), F.greatest(a("node"), b("node")).alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = written(pairs, "blocks-pairs")

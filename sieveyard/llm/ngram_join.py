@@ -105,33 +105,37 @@ def prefix(keys: np.ndarray, frequency: np.ndarray, bits: int, percent: int) ->
     return keys[np.lexsort((keys, frequency[_sketch_slots(keys, bits)]))[:take]]
 
 
-def _incidence(docs: DataFrame, nodes: DataFrame, frequency: np.ndarray, size: int, bits: int, percent: int) -> DataFrame:
-    """(key, node, n): the prefix of each distinct set, once."""
+def _nodes(docs: DataFrame, frequency: np.ndarray, size: int, bits: int, percent: int) -> DataFrame:
+    """(node, digest, id, n, keys): each distinct set once, with its prefix in order and an id that has it."""
     shared = docs.sparkSession.sparkContext.broadcast(frequency)  # 2 ** (bits + 1) bytes, whatever the corpus
-    own = nodes.groupBy("id").agg(F.collect_list(F.struct("digest", "node")).alias("own"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh3_128_digest
 
-        counts = shared.value
+        counts, seen = shared.value, set()
         for whole in batches:
             for at in range(0, whole.num_rows, 512):
                 batch = whole.slice(at, 512)
-                keys, owners, sizes = [], [], []
-                for text, mine in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                rows, digests, sizes, keys = [], [], [], []
+                for k, text in enumerate(batch.column(1).to_pylist()):
                     s = shingle_set(text, size)
                     digest = xxh3_128_digest(s.tobytes())
-                    for x in mine:
-                        if x["digest"] == digest:
-                            p = prefix(s, counts, bits, percent)
-                            keys.append(p.view(np.int64))
-                            owners.append(np.full(len(p), x["node"], np.int64))
-                            sizes.append(np.full(len(p), len(s), np.int64))
-                if keys:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (keys, owners, sizes)], names=["key", "node", "n"])
-
-    joined = docs.join(own, docs["__id"].eqNullSafe(own["id"])).select("__text", "own")
-    return joined.mapInArrow(run, "key long, node long, n long")
+                    if len(s) and digest not in seen:  # copies in one task need not be sent again
+                        if len(seen) >= 1 << 20:
+                            seen.clear()
+                        seen.add(digest)
+                        rows.append(k)
+                        digests.append(digest)
+                        sizes.append(len(s))
+                        keys.append(prefix(s, counts, bits, percent).view(np.int64))
+                if rows:
+                    lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum([len(x) for x in keys])]), pa.int32()), pa.array(np.concatenate(keys)))
+                    yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), batch.column(0).take(pa.array(rows)), pa.array(sizes, pa.int64()), lists], names=["digest", "id", "n", "keys"])
+
+    kind = docs.schema["__id"].dataType.simpleString()
+    sets = docs.select("__id", "__text").mapInArrow(run, f"digest binary, id {kind}, n long, keys array<bigint>")
+    once = sets.groupBy("digest").agg(F.min_by(F.struct("id", "n", "keys"), F.struct("id", "n")).alias("s")).select("digest", "s.*")
+    return written(once.withColumn("node", F.monotonically_increasing_id()), "jaccard-nodes")
 
 
 def _overlaps(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
@@ -165,8 +169,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     rarest n-grams, whose length follows from the size bound. Its product with itself is taken block
     by block (a block: the nodes of one n-gram). Nodes of one block that are already connected need
     no entry of the product, so each round multiplies one node of a block with those it isn't yet
-    connected to, keeps pairs within the size bound, counts their exact overlaps, and joins
-    components; the last round takes all entries that are left. The product is thus exact up to
+    connected to, keeps pairs within the bounds that sizes and the place in the prefix set, counts their
+    exact overlaps, and joins components; the last round takes all entries that are left. The product is thus exact up to
     links inside a component, and large groups of copies cost a multiple of their size, not its square.
 
     Null, empty or blank texts have an empty set and link with nothing; texts of fewer than size words
@@ -178,17 +182,22 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     seen = written(_scan(own, size, sketch_bits), "jaccard-scan")
     frequency = _merged(seen.filter("slice is not null").select("slice", "counts"), sketch_bits)
     sets = seen.filter("slice is null").select("id", "n", "digest")
-    # equal sets: one node each, with a number that stays as it is written down
-    nodes = sets.filter("n > 0").groupBy("digest").agg(F.min("id").alias("id"), F.max("n").alias("n"))
-    nodes = written(nodes.withColumn("node", F.monotonically_increasing_id()), "jaccard-nodes")
-    index = shared_blocks(_incidence(own, nodes, frequency, size, sketch_bits, percent))
-    members = index.select("node").distinct().join(nodes, "node")
+    nodes = _nodes(own, frequency, size, sketch_bits, percent)
+    index = shared_blocks(nodes.select("node", F.col("n").cast("int").alias("n"), F.posexplode("keys").alias("pos", "key")))
+    members = index.select("node").distinct().join(nodes.select("node", "digest", "id"), "node")
     ids = members.groupBy("id").agg(F.collect_list(F.struct("digest", "node")).alias("own"))
-    texts = own.join(ids, own["__id"].eqNullSafe(ids["id"])).select(F.explode("own").alias("o"), F.col("__text").alias("text")).select("o.*", "text")
-    texts = written(_right_texts(texts, size), "jaccard-texts")
-    bound = lambda a, b: F.lit(100) * F.least(a("n"), b("n")) >= F.lit(percent) * F.greatest(a("n"), b("n"))
-    comp = block_components(index, ["n"], bound, lambda pairs: _overlaps(pairs, texts, size, percent).filter("linked"), rounds)
-    out = nodes.join(comp, "node", "left").select("digest", F.coalesce("comp", "node").alias("comp"), "id")
+    texts = own.join(ids, own["__id"].eqNullSafe(ids["id"])).groupBy("__id", "own", F.xxhash64("__text")).agg(F.first("__text").alias("text"))
+    texts = written(_right_texts(texts.select(F.explode("own").alias("o"), "text").select("o.*", "text"), size), "jaccard-texts")
+
+    def bound(a, b):
+        """Two sets of sizes n share at most what stands from their first common key on, in either prefix."""
+        most = F.least(a("n") - a("pos"), b("n") - b("pos"))
+        return (F.lit(100 + percent) * most >= F.lit(percent) * (a("n") + b("n"))) & (F.lit(100) * F.least(a("n"), b("n")) >= F.lit(percent) * F.greatest(a("n"), b("n")))
+
+    # A block's first node is the one with the fewest rarer n-grams: of near copies, the least edited, which links with most.
+    comp = block_components(index, ["n", "pos"], bound, lambda pairs: _overlaps(pairs, texts, size, percent).filter("linked"), rounds, ("pos",))
+    firsts = sets.filter("n > 0").groupBy("digest").agg(F.min("id").alias("id"))
+    out = nodes.select("node", "digest").join(comp, "node", "left").select("digest", F.coalesce("comp", "node").alias("comp")).join(firsts, "digest")
     low = out.groupBy("comp").agg(F.min("id").alias("component_id"))
     label = out.join(low, "comp").select("digest", "component_id")
     full = sets.filter("n > 0").join(label, "digest").select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
@@ -196,7 +205,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 
 def _right_texts(texts: DataFrame, size: int) -> DataFrame:
-    """(node, text), once a node: an id with several texts gives each node one that has its digest."""
+    """(node, text) where the text has the node's digest: an id may have several texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh3_128_digest
@@ -205,4 +214,4 @@ def _right_texts(texts: DataFrame, size: int) -> DataFrame:
             own = [xxh3_128_digest(shingle_set(t, size).tobytes()) for t in batch.column(2).to_pylist()]
             yield batch.filter(pa.array([a == b for a, b in zip(own, batch.column(0).to_pylist(), strict=True)], pa.bool_())).select(["node", "text"])
 
-    return texts.mapInArrow(run, "node long, text string").groupBy("node").agg(F.min("text").alias("text"))
+    return texts.select("digest", "node", "text").mapInArrow(run, "node long, text string")
