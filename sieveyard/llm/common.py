@@ -11,10 +11,14 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import let
+
 #: Word separators of every contract: space and \t \n \v \f \r.
 SPACES = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
 
+__all__ = ["SPACES", "WORD", "ascii_lower", "let", "shared_dir", "table", "text_or_empty", "word_count", "words", "written"]
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -49,11 +53,6 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def let(value: Column, body) -> Column:
-    """body(value) with value computed once a row: the optimizer would copy a plain column into every use."""
-    return F.transform(F.array(value), body)[0]
-
-
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
