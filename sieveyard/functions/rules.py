@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import ordered_unique
+from .text import let, ordered_unique
 
 # The domain's names and words.
 OBJECTS = tuple(
@@ -67,27 +67,34 @@ def of_vocabulary(values: Column, vocabulary: Sequence[str]) -> Column:
 
 
 def tags(objects: Column, animations: Column, bases: Column, text: Column, rules: RuleSet = RuleSet()) -> Column:
-    low = F.lower(text)
-    found = []
-    for rule in rules.tags:
-        holds = F.lit(False)
-        if rule.objects:
-            holds |= F.arrays_overlap(objects, F.array(*map(F.lit, rule.objects)))
-        if rule.bases:
-            holds |= F.arrays_overlap(bases, F.array(*map(F.lit, rule.bases)))
-        for word in rule.words:
-            holds |= low.contains(word)
-        if rule.any_animation:
-            holds |= F.size(animations) > 0
-        found.append(F.when(holds, F.lit(rule.tag)))
-    return F.array_compact(F.array(*found))
+
+    def found(s: Column) -> Column:
+        out = []
+        for rule in rules.tags:
+            holds = F.lit(False)
+            if rule.objects:
+                holds |= F.arrays_overlap(s["objects"], F.array(*map(F.lit, rule.objects)))
+            if rule.bases:
+                holds |= F.arrays_overlap(s["bases"], F.array(*map(F.lit, rule.bases)))
+            for word in rule.words:
+                holds |= s["low"].contains(word)
+            if rule.any_animation:
+                holds |= F.size(s["animations"]) > 0
+            out.append(F.when(holds, F.lit(rule.tag)))
+        return F.array_compact(F.array(*out))
+
+    return let(F.struct(objects.alias("objects"), animations.alias("animations"), bases.alias("bases"), F.lower(text).alias("low")), found)
 
 
 def category(tags_: Column, rules: RuleSet = RuleSet()) -> Column:
-    out = F.lit(rules.default)
-    for tag, name in reversed(rules.categories):
-        out = F.when(F.array_contains(tags_, tag), name).otherwise(out)
-    return out
+
+    def first(t: Column) -> Column:
+        out = F.lit(rules.default)
+        for tag, name in reversed(rules.categories):
+            out = F.when(F.array_contains(t, tag), name).otherwise(out)
+        return out
+
+    return let(tags_, first)
 
 
 def score(lines: Column, objects: Column, animations: Column, calls: Column, rules: RuleSet = RuleSet()) -> Column:
@@ -97,10 +104,14 @@ def score(lines: Column, objects: Column, animations: Column, calls: Column, rul
 
 
 def difficulty(points: Column, rules: RuleSet = RuleSet()) -> Column:
-    out = F.lit(rules.top_level)
-    for bound, name in reversed(rules.levels):
-        out = F.when(points < F.lit(bound), name).otherwise(out)
-    return out
+
+    def level(p: Column) -> Column:
+        out = F.lit(rules.top_level)
+        for bound, name in reversed(rules.levels):
+            out = F.when(p < F.lit(bound), name).otherwise(out)
+        return out
+
+    return let(points, level)
 
 
 def quality(has_construct: Column, n_objects: Column, n_animations: Column, lines: Column, code: Column, rules: RuleSet = RuleSet()) -> Column:

@@ -11,6 +11,11 @@ _SPACE_CLASS = r"\t-\r\x1c-\x20\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}
 _LINE_END = r"\r\n|[\n\x0b\x0c\r\x1c-\x1e\x85\x{2028}\x{2029}]"
 
 
+def let(value: Column, body) -> Column:
+    """body(value) with value computed once a row: the optimizer would copy a plain column into every use, and copies of copies grow without bound."""
+    return F.transform(F.array(value), body)[0]
+
+
 def py_strip(text: Column) -> Column:
     return F.btrim(text, F.lit(PY_SPACE))
 
@@ -34,9 +39,13 @@ def split_identifier(value: Column) -> Column:
 
 def readable_join(values: Column) -> Column:
     """a; a and b; a, b, and c."""
-    n = F.size(values)
-    longer = F.concat(F.array_join(F.slice(values, F.lit(1), F.greatest(n - 1, F.lit(0))), ", "), F.lit(", and "), F.element_at(values, -1))
-    return F.when(n <= 0, "").when(n == 1, F.get(values, F.lit(0))).when(n == 2, F.array_join(values, " and ")).otherwise(longer)
+
+    def joined(v: Column) -> Column:
+        n = F.size(v)
+        longer = F.concat(F.array_join(F.slice(v, F.lit(1), F.greatest(n - 1, F.lit(0))), ", "), F.lit(", and "), F.element_at(v, -1))
+        return F.when(n <= 0, "").when(n == 1, F.get(v, F.lit(0))).when(n == 2, F.array_join(v, " and ")).otherwise(longer)
+
+    return let(values, joined)
 
 
 def ordered_unique(values: Column) -> Column:
