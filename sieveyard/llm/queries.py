@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .common import table
 from .html_text import extract_main_text
+from .language_model import held_out_scores
 from .mixing import mix
 from .ngram_join import jaccard_components
 from .personal import KINDS, find_personal_data
@@ -42,6 +43,10 @@ def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op5_lm_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return held_out_scores(table(spark, sf_dir, "documents"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_fingerprints(table(spark, sf_dir, "documents"))
 
@@ -74,7 +79,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_substring_dedup, op2_personal_data, op3_url_templates, op4_ngram_jaccard, op6_simhash, op7_main_text, op8_quality_rules, op9_source_mix, op10_byte_bpe, pipeline)
+    f.__name__: f for f in (op1_substring_dedup, op2_personal_data, op3_url_templates, op4_ngram_jaccard, op5_lm_trie, op6_simhash, op7_main_text, op8_quality_rules, op9_source_mix, op10_byte_bpe, pipeline)
 }
 
 ORACLE_SQL: dict[str, str] = {
