@@ -199,7 +199,7 @@ def syntax_error(code: Column) -> Column:
     """The message of a syntax error, or null; without type comments, as a plain parse has it."""
 
     @F.udf("string")
-    def check(text: str | None) -> str | None:
+    def check(text):
         try:
             with warnings.catch_warnings():
                 warnings.simplefilter("ignore")

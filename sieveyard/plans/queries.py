@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,6 +16,7 @@ from ..operators.code_units import parse_files, reachable, scenes
 from ..operators.maintenance import safety_reason
 from ..operators.metadata import with_metadata, with_prompts, with_validation
 from ..sources.code_files import read_code
+from ..sources.shared import local_path, new_folder
 from .config import ExtractConfig
 from .extract import plan, statistics
 
@@ -294,7 +293,7 @@ def jsonl_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = hashed(spark, sf_dir).join(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
     meta = F.struct(F.col("content_hash"), F.col("doc_id"))
     rows = own.select(pair(F.col("lang"), F.col("text")).alias("messages"), meta.alias("metadata"))
-    path = f"{spark.conf.get('spark.checkpoint.dir', None) or 'file://' + tempfile.gettempdir()}/jsonl-{uuid.uuid4().hex}"
+    path = new_folder(spark, "jsonl")
     rows.write.option("ignoreNullFields", False).json(path)
     back = spark.read.schema("messages array<struct<role string, content string>>, metadata struct<content_hash string, doc_id long>").json(path)
     return back.select("metadata.doc_id", F.element_at("messages", 2)["content"].alias("text"), (stable_hash(F.element_at("messages", 2)["content"]) == F.col("metadata.content_hash")).alias("same"))
@@ -302,7 +301,7 @@ def jsonl_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def repo_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A small tree of files: which are read, by their place in it."""
-    root = Path(tempfile.gettempdir()) / f"tree-{uuid.uuid4().hex}"
+    root = Path(local_path(new_folder(spark, "tree")))
     for name in ("a.py", "_2018/b.py", "sub/__init__.py", ".hid/c.py", ".x.py", "node_modules/d.py", "sub/build/e.py", "f.PY", "g.txt"):
         (root / name).parent.mkdir(parents=True, exist_ok=True)
         (root / name).write_text("x = 1\n")

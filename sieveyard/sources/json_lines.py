@@ -9,6 +9,7 @@ from pathlib import Path
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,10 +43,16 @@ def read_jsonl(spark: SparkSession, path: str, schema: str = MODEL_READY) -> Dat
 
 
 def read_lines(spark: SparkSession, path: str, max_rows: int | None = None) -> DataFrame:
-    """(line_no, value): every line, blank ones too, numbered in file order; the first max_rows of them."""
+    """(line_no, value): every line, blank ones too, numbered in file order from 1; the first max_rows of them.
+
+    Tasks number their own lines; a table of one row for each task says how many come before.
+    """
     lines = spark.read.text(path).withColumn("at", F.monotonically_increasing_id())
-    numbered = lines.select((F.col("at") + 1).alias("line_no"), "value") if max_rows is None else lines.orderBy("at").limit(max_rows).select((F.col("at") + 1).alias("line_no"), "value")
-    return numbered
+    lines = lines.select("value", F.shiftright("at", 33).alias("task"), (F.col("at").bitwiseAND(F.lit((1 << 33) - 1)) + 1).alias("place"))
+    sizes = lines.groupBy("task").agg(F.max("place").alias("n"))
+    before = sizes.select("task", (F.sum("n").over(W.orderBy("task")) - F.col("n")).alias("before"))
+    numbered = lines.join(F.broadcast(before), "task").select((F.col("before") + F.col("place")).alias("line_no"), "value")
+    return numbered if max_rows is None else numbered.filter(F.col("line_no") <= max_rows)
 
 
 def read_training(spark: SparkSession, train: str, validation: str, schema: str = TRAINING) -> dict[str, DataFrame]:
