@@ -1,17 +1,12 @@
-"""Shared helpers: table reading, the shared folder, cutting lineage, exact text rules."""
+"""Shared helpers: table reading, and the contracts' exact text rules."""
 
 from __future__ import annotations
 
-import atexit
-import os
-import shutil
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import let
+from ..sources.shared import shared_dir, written
 
 #: Word separators of every contract: space and \t \n \v \f \r.
 SPACES = " \t\n\x0b\x0c\r"
@@ -24,35 +19,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir; a temporary one only where it is unset (tests)."""
-    set_dir = spark.conf.get("spark.checkpoint.dir", None)
-    if set_dir:
-        return set_dir.rstrip("/")
-    if not spark.sparkContext.master.startswith("local["):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    own = getattr(shared_dir, "own", None)
-    if own is None or not os.path.isdir(own):
-        own = tempfile.mkdtemp(prefix="sieveyard-")
-        atexit.register(shutil.rmtree, own, ignore_errors=True)
-        shared_dir.own = own
-    return f"file://{own}"
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Cut lineage: write df to the shared folder as Parquet and read it back.
-
-    The files survive lost executors. They go when the driver's JVM ends.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    jvm = spark.sparkContext._jvm
-    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
-    hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import math
 import os
-import uuid
 import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -15,7 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import shared_dir, words
+from ..sources.shared import local_path, new_folder
+from .common import words
 from .elias_fano import Sequence, encode, map_arrays, named, part, write_arrays
 
 #: Hashes that stand for the end and the begin of a text; no word hashes to them but by chance of 2 ** -64.
@@ -39,15 +39,6 @@ class Trie:
         return (counts + 1) / (self.tokens + self.types + 1)
 
 
-def _local(path: str) -> str:
-    """The shared folder as a mounted path: memory maps need one."""
-    if path.startswith("file:"):
-        return "/" + path[5:].lstrip("/")
-    if "://" in path:
-        raise ValueError(f"the trie's levels are memory-mapped, so spark.checkpoint.dir must be a mounted path, not {path}")
-    return path
-
-
 def _token_hashes(text: str | None) -> np.ndarray:
     from xxhash import xxh3_64_intdigest
 
@@ -293,12 +284,8 @@ def train(docs: DataFrame, text_col: str = "text", discount: float = 0.75, shard
     own = docs.select(F.col(text_col).alias("__text"))
     size = int(str(own._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     shards = max(FAN, math.ceil(size / shard_bytes))
-    uri = f"{shared_dir(spark)}/trie-{uuid.uuid4().hex}"
-    folder = _local(uri)
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(uri)
-    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    files.mkdirs(path)
-    files.deleteOnExit(path)
+    folder = local_path(new_folder(spark, "trie"))  # the levels are memory-mapped
+    os.makedirs(folder)
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
 
     def sorted_rows(rows: DataFrame) -> DataFrame:
