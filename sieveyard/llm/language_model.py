@@ -215,27 +215,32 @@ class Words:
 
 
 class Children:
-    """Second level of a shard: contexts, monotone pointers to their children, children by number within their context, quantised probabilities."""
+    """Second level of a shard: contexts, and their children by number within their context, with quantised probabilities.
+
+    A child's number is its context's rank, then its own bits. The high part of the sequence codes the
+    ranks: these are the monotone pointers from contexts to ranges. The low part is searched inside a range.
+    """
 
     def __init__(self, folder: str, shard: int) -> None:
         path = f"{folder}/pairs-{shard}"
         self.empty = not os.path.exists(path)
         if not self.empty:
             self.arrays = map_arrays(path)
-            self.contexts, self.pointers, self.children = (Sequence(part(k, self.arrays)) for k in ("contexts", "pointers", "children"))
+            self.contexts, self.children = Sequence(part("contexts", self.arrays)), Sequence(part("children", self.arrays))
 
     def probability(self, before: np.ndarray, own: np.ndarray) -> np.ndarray:
         """Discounted probability of each child after its context, 0 where the pair is unknown."""
         out = np.zeros(len(own))
         if self.empty:
             return out
-        rank = self.contexts.find(before)
+        contexts, of = np.unique(before, return_inverse=True)
+        rank = self.contexts.find(contexts)
+        first, end = np.zeros((2, len(contexts)), np.int64)
         known = np.flatnonzero(rank >= 0)
-        place = self.children.find(rank[known].astype(np.uint64) << np.uint64(CHILD_BITS) | own[known] & _CHILD_MASK)
-        hit = place >= 0
-        first, end = self.pointers.get(rank[known][hit]).astype(np.int64), self.pointers.get(rank[known][hit] + 1).astype(np.int64)
-        own_range = (place[hit] >= first) & (place[hit] < end)
-        out[known[hit][own_range]] = self.arrays["book"][self.arrays["codes"][place[hit][own_range]]]
+        first[known], end[known] = self.children.bucket(rank[known])
+        place = self.children.search(first[of], end[of], own & _CHILD_MASK)
+        hit = np.flatnonzero(place >= 0)
+        out[hit] = self.arrays["book"][self.arrays["codes"][place[hit]]]
         return out
 
 
@@ -283,10 +288,10 @@ def train(docs: DataFrame, text_col: str = "text", discount: float = 0.75, shard
     spark = docs.sparkSession
     own = docs.select(F.col(text_col).alias("__text"))
     size = int(str(own._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    shards = max(FAN, math.ceil(size / shard_bytes))
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+    shards = max(FAN, math.ceil(size / shard_bytes) if size < 1 << 60 else parts)  # Spark gives a huge size where it knows none
     folder = local_path(new_folder(spark, "trie"))  # the levels are memory-mapped
     os.makedirs(folder)
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
 
     def sorted_rows(rows: DataFrame) -> DataFrame:
         return rows.repartition(min(parts, shards), "shard").sortWithinPartitions("shard")
@@ -305,13 +310,12 @@ def train(docs: DataFrame, text_col: str = "text", discount: float = 0.75, shard
     def build_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shard, state in _shards(batches, _folding(_read_pairs)):
             before, own_words, counts = _folded(state)
-            contexts, first, width = np.unique(before, return_index=True, return_counts=True)
+            contexts, width = np.unique(before, return_counts=True)
             context_counts = _lookup_words(folder, shards, contexts, False)[0]
             rank = np.repeat(np.arange(len(contexts), dtype=np.uint64), width)
             p = (counts - discount) / np.repeat(np.maximum(context_counts, 1), width)
-            pointers = np.append(first, len(before))
             bits = CHILD_BITS + max(len(contexts), 1).bit_length()
-            levels = {**named("contexts", encode(contexts, 64)), **named("pointers", encode(pointers, len(before).bit_length())), **named("children", encode(rank << np.uint64(CHILD_BITS) | own_words, bits))}
+            levels = {**named("contexts", encode(contexts, 64)), **named("children", encode(rank << np.uint64(CHILD_BITS) | own_words, bits, CHILD_BITS))}
             write_arrays(f"{folder}/pairs-{shard}", levels | quantised(p))
             rows = [_row(k, contexts[i], None, None, width[i]) for k, i in _by_shard((contexts % np.uint64(shards)).astype(np.int64))]
             yield _batch(rows)
