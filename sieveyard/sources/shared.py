@@ -6,7 +6,10 @@ import atexit
 import os
 import shutil
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,8 +46,30 @@ def local_path(uri: str) -> str:
     return uri
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+_SCRATCH = threading.local()
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables written inside are removed at the end, but for those written with keep, which pass to an outer scratch, if any.
+
+    What leaves the block must depend on kept tables alone.
+    """
+    levels = _SCRATCH.__dict__.setdefault("levels", [])
+    levels.append([])
+    try:
+        yield
+    finally:
+        for path in levels.pop():
+            hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+
+
+def written(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Cut lineage: write df to the shared folder as Parquet and read it back. The files survive lost executors."""
     path = new_folder(df.sparkSession, name)
+    levels = _SCRATCH.__dict__.get("levels", [])[: -1 if keep else None]
+    if levels:
+        levels[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
