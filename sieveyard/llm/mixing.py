@@ -60,7 +60,7 @@ def sainte_lague(cells: DataFrame, group: list[str], key: str) -> DataFrame:
 
 def mix(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = (5, 2, 1),
-    total_share: float = 1.5, max_repeat: int = 2, block_words: int = 16, shards: int = 256, seed: int = 17,
+    total_share: float = 1.5, max_repeat: int = 2, block_words: int = 16, shard_words: int = 2_000_000, seed: int = 17,
 ) -> DataFrame:
     """Words that a mix takes from each document: id_col, size, source_size, target, taken.
 
@@ -68,13 +68,16 @@ def mix(
     source's blocks to its shards (documents by seeded hash) on their sizes. In a shard, documents
     in seeded order lie on one line of words; the quota runs along it from the start, around again if
     it is longer than the line, and at most max_repeat times. Blocks are counted, never listed.
-    A hot source has as many shards as any other, so its line is cut by `shards`.
+    The number of shards follows the largest source, so that no line is much longer than shard_words.
 
     Null texts have no words; null sources are one source, in the last place. Repeated rows count each. An
     empty table gives an empty result. Other columns are ignored. Reruns agree: order and shard come from hashes.
     """
     sizes = docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), word_count(text_or_empty(text_col)).alias("size"))
-    sizes = written(sizes.withColumn("shard", F.pmod(F.xxhash64("id", "size", F.lit(seed)), F.lit(shards)).cast("int")), "mix-sizes")
+    sizes = written(sizes, "mix-sizes")
+    largest = sizes.groupBy("source").agg(F.sum("size").alias("n")).agg(F.max("n")).first()[0] or 0
+    shards = max(1, -(-largest // shard_words))
+    sizes = sizes.withColumn("shard", F.pmod(F.xxhash64("id", "size", F.lit(seed)), F.lit(shards)).cast("int"))
     cells = written(sizes.groupBy("source", "shard").agg(F.sum("size").alias("weight")), "mix-cells")
     targets = written(source_targets(cells.groupBy("source").agg(F.sum("weight").alias("source_size")), weights, total_share, max_repeat), "mix-targets")
     blocks = targets.select(F.lit(0).alias("all"), F.col("source"), F.col("target").alias("weight"), F.round(F.sum("target").over(W.partitionBy()) / block_words).cast("long").alias("total"))
