@@ -8,8 +8,10 @@ import shutil
 import tempfile
 import threading
 import uuid
+import zipfile
 from collections.abc import Iterator
 from contextlib import contextmanager
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -46,6 +48,22 @@ def local_path(uri: str) -> str:
     return uri
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give this package to the Python workers of every executor, once an application: they may not have it on their path."""
+    context = spark.sparkContext
+    if getattr(ship_package, "done", None) == context.applicationId:
+        return
+    top = Path(__file__).resolve().parents[1]
+    folder = tempfile.mkdtemp(prefix="sieveyard-")  # the driver serves the archive from here as long as it runs
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    archive = f"{folder}/{top.name}.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for path in sorted(top.rglob("*.py")):
+            out.write(path, path.relative_to(top.parent))
+    context.addPyFile(archive)
+    ship_package.done = context.applicationId
+
+
 _SCRATCH = threading.local()
 
 
