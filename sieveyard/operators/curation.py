@@ -19,17 +19,18 @@ def keep_first(rows: DataFrame, keys: Sequence[str], order: Sequence[str | Colum
     return rows.withColumn("__rank", rank).filter("__rank = 1").drop("__rank")
 
 
-def global_rank(rows: DataFrame, digest: str, tie: Sequence[str | Column], name: str = "rank") -> DataFrame:
-    """rows with their 1-based place in the order of a hexadecimal digest, without sorting all in one task.
+def global_rank(rows: DataFrame, digest: str, tie: Sequence[str | Column], name: str = "rank", total: str = "total") -> DataFrame:
+    """rows with their 1-based place in the order of a hexadecimal digest, and the number of all, without sorting all in one task.
 
     The digest's first four digits cut the order into at most 65,536 parts of like size. Their sizes,
     summed up, are a table of that bound, joined back; inside a part a window counts.
     """
     cut = rows.withColumn("__part", F.substring(digest, 1, 4))
     sizes = cut.groupBy("__part").agg(F.count("*").alias("__n"))
-    before = sizes.withColumn("__before", F.sum("__n").over(W.orderBy("__part").rowsBetween(W.unboundedPreceding, W.currentRow)) - F.col("__n"))
+    so_far = F.sum("__n").over(W.orderBy("__part").rowsBetween(W.unboundedPreceding, W.currentRow))
+    before = sizes.select("__part", (so_far - F.col("__n")).alias("__before"), F.sum("__n").over(W.partitionBy()).alias(total))
     place = F.row_number().over(W.partitionBy("__part").orderBy(digest, *tie))
-    return cut.join(F.broadcast(before.select("__part", "__before")), "__part").withColumn(name, (F.col("__before") + place).cast("long")).drop("__part", "__before")
+    return cut.join(F.broadcast(before), "__part").withColumn(name, (F.col("__before") + place).cast("long")).drop("__part", "__before")
 
 
 def seeded(seed: int, *key: Column) -> Column:
@@ -45,8 +46,7 @@ def _cut(rank: Column, total: Column, validation: float, test: float) -> Column:
 def split_rows(rows: DataFrame, key: str, validation: float = 0.05, test: float = 0.05, seed: int = 42) -> DataFrame:
     """Row-wise split by seeded order of a unique key. Rows of one content may part: see split_by_hash."""
     ranked = global_rank(rows.withColumn("__h", seeded(seed, F.col(key).cast("string"))), "__h", [key])
-    total = rows.agg(F.count("*").alias("__total"))
-    return ranked.crossJoin(F.broadcast(total)).withColumn("split", _cut(F.col("rank"), F.col("__total"), validation, test)).drop("__h", "rank", "__total")
+    return ranked.withColumn("split", _cut(F.col("rank"), F.col("total"), validation, test)).drop("__h", "rank", "total")
 
 
 def split_by_hash(rows: DataFrame, hash_col: str, seq: str, validation: float = 0.05, test: float = 0.05, seed: int = 42, compat: str | None = None) -> DataFrame:
@@ -66,8 +66,7 @@ def split_by_hash(rows: DataFrame, hash_col: str, seq: str, validation: float =
         table = rows.sparkSession.createDataFrame(parts, "__key string, split string")
     else:
         ranked = global_rank(groups.withColumn("__h", seeded(seed, F.col("__key"))), "__h", ["__key"])
-        total = groups.agg(F.count("*").alias("__total"))
-        table = ranked.crossJoin(F.broadcast(total)).select("__key", _cut(F.col("rank"), F.col("__total"), validation, test).alias("split"))
+        table = ranked.select("__key", _cut(F.col("rank"), F.col("total"), validation, test).alias("split"))
     return named.join(table, "__key").drop("__key")
 
 

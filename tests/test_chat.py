@@ -47,3 +47,15 @@ def test_stream(spark, tmp_path):
     query.processAllAvailable()
     query.stop()
     assert sorted(r.user for r in spark.table("first_rows").collect()) == ["hi", "other"]
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from sieveyard.__main__ import arguments, config, main
+
+    path = tmp_path / "rows.jsonl"
+    path.write_text("\n".join(LINES[:2]) + "\n")
+    main(["profile", str(path), "--max-rows", "1"])
+    assert json.loads(capsys.readouterr().out)["rows_checked"] == 1
+    args = arguments().parse_args(["extract", "a", "b", "--output-dir", "o", "--seed", "7", "--row-wise-split"])
+    own = config(args)
+    assert (own.input_paths, own.seed, own.split_by_content_hash, own.batch_size) == (("a", "b"), 7, False, 256)
