@@ -83,6 +83,18 @@ def scratch(spark: SparkSession) -> Iterator[None]:
             hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop_path, True)
 
 
+@contextmanager
+def arrow_batches(spark: SparkSession, size: str = "16m") -> Iterator[None]:
+    """Smaller Arrow batches for what runs inside: Python workers and the JVM hold a few of them each. The session's own size comes back afterwards."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, size)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before) if before is not None else spark.conf.unset(key)
+
+
 def written(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Cut lineage: write df to the shared folder as Parquet and read it back. The files survive lost executors."""
     path = new_folder(df.sparkSession, name)
