@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -12,9 +12,12 @@ from sieveyard.llm.ngram_join import jaccard_components
 from sieveyard.llm.personal import redact
 from sieveyard.llm.quality import judge
 from sieveyard.llm.tokenizer import encode_decode
+from sieveyard.sources.shared import ship_package
 
-#: Ids may be null or repeated in a stage's input, so a row is told by its id and its text's hash.
-ROW = F.struct(F.col("doc_id"), F.xxhash64("text").alias("h"))
+
+def row_key() -> Column:
+    """Ids may be null or repeated in a stage's input, so a row is told by its id and its text's hash."""
+    return F.struct(F.col("doc_id"), F.xxhash64("text").alias("h"))
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,7 +30,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     Rows that repeat id and text count as one document. Empty texts are linked with nothing.
     """
-    own = docs.withColumn("__row", ROW)
+    own = docs.withColumn("__row", row_key())
     groups = written(jaccard_components(own, "__row"), "pipeline-groups")
     gone = groups.filter("not __row <=> component_id").select("__row").distinct()
     twice = groups.filter("__row <=> component_id").groupBy("__row").count().filter("count > 1").select("__row")
@@ -49,7 +52,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     A document whose words the mix leaves out goes, as do texts without words. Rows that repeat id
     and text share what is taken from them.
     """
-    own = docs.withColumn("__row", ROW)
+    own = docs.withColumn("__row", row_key())
     taken = mix(own, "__row").groupBy("__row").agg((F.expr("sum(taken) div count(*)")).alias("__taken"), F.max("size").alias("__size"))
     taken = taken.filter("__taken > 0").withColumnRenamed("__row", "__key")
     rows = own.join(taken, F.col("__row").eqNullSafe(F.col("__key")))
@@ -82,6 +85,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over `documents`, each written as Parquet and read again."""
+    ship_package(spark)
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = written(stage(spark, docs, sf_dir), "pipeline-" + "-".join(name.split()))

@@ -6,13 +6,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import let
-from ..sources.shared import shared_dir, written
+from ..sources.shared import arrow_batches, scratch, written
 
 #: Word separators of every contract: space and \t \n \v \f \r.
 SPACES = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
 
-__all__ = ["SPACES", "WORD", "ascii_lower", "let", "shared_dir", "table", "text_or_empty", "word_count", "words", "written"]
+__all__ = ["SPACES", "WORD", "arrow_batches", "ascii_lower", "let", "scratch", "table", "text_or_empty", "word_count", "words", "written"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

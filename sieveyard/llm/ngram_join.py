@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import block_components, shared_blocks
-from .common import words, written
+from .common import arrow_batches, scratch, words, written
 
 _MULTIPLIERS = np.random.default_rng(5).integers(1, 2**63, 64, dtype=np.uint64) | np.uint64(1)
 _SLICES = 64
@@ -106,17 +106,17 @@ def prefix(keys: np.ndarray, frequency: np.ndarray, bits: int, percent: int) ->
 
 
 def _nodes(docs: DataFrame, frequency: np.ndarray, size: int, bits: int, percent: int) -> DataFrame:
-    """(node, digest, id, n, keys): each distinct set once, with its prefix in order and an id that has it."""
+    """(node, digest, id, h, n, keys): each distinct set once, with its prefix in order, and the id and XXH64 of a text that has it."""
     shared = docs.sparkSession.sparkContext.broadcast(frequency)  # 2 ** (bits + 1) bytes, whatever the corpus
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from xxhash import xxh3_128_digest
+        from xxhash import xxh3_128_digest, xxh64_intdigest
 
         counts, seen = shared.value, set()
         for whole in batches:
             for at in range(0, whole.num_rows, 512):
                 batch = whole.slice(at, 512)
-                rows, digests, sizes, keys = [], [], [], []
+                rows, hashes, digests, sizes, keys = [], [], [], [], []
                 for k, text in enumerate(batch.column(1).to_pylist()):
                     s = shingle_set(text, size)
                     digest = xxh3_128_digest(s.tobytes())
@@ -125,16 +125,17 @@ def _nodes(docs: DataFrame, frequency: np.ndarray, size: int, bits: int, percent
                             seen.clear()
                         seen.add(digest)
                         rows.append(k)
+                        hashes.append(xxh64_intdigest(text.encode("utf-8", "surrogatepass"), 42))  # as Spark's xxhash64()
                         digests.append(digest)
                         sizes.append(len(s))
                         keys.append(prefix(s, counts, bits, percent).view(np.int64))
                 if rows:
                     lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum([len(x) for x in keys])]), pa.int32()), pa.array(np.concatenate(keys)))
-                    yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), batch.column(0).take(pa.array(rows)), pa.array(sizes, pa.int64()), lists], names=["digest", "id", "n", "keys"])
+                    yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), batch.column(0).take(pa.array(rows)), pa.array(np.array(hashes, np.uint64).view(np.int64)), pa.array(sizes, pa.int64()), lists], names=["digest", "id", "h", "n", "keys"])
 
     kind = docs.schema["__id"].dataType.simpleString()
-    sets = docs.select("__id", "__text").mapInArrow(run, f"digest binary, id {kind}, n long, keys array<bigint>")
-    once = sets.groupBy("digest").agg(F.min_by(F.struct("id", "n", "keys"), F.struct("id", "n")).alias("s")).select("digest", "s.*")
+    sets = docs.select("__id", "__text").mapInArrow(run, f"digest binary, id {kind}, h long, n long, keys array<bigint>")
+    once = sets.groupBy("digest").agg(F.min_by(F.struct("id", "h", "n", "keys"), F.struct("id", "h")).alias("s")).select("digest", "s.*")
     return written(once.withColumn("node", F.monotonically_increasing_id()), "jaccard-nodes")
 
 
@@ -179,39 +180,27 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     whatever their names. sketch_bits and rounds change the time, never the result.
     """
     own = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
-    seen = written(_scan(own, size, sketch_bits), "jaccard-scan")
-    frequency = _merged(seen.filter("slice is not null").select("slice", "counts"), sketch_bits)
+    with arrow_batches(docs.sparkSession):
+        seen = written(_scan(own, size, sketch_bits), "jaccard-scan")
     sets = seen.filter("slice is null").select("id", "n", "digest")
-    nodes = _nodes(own, frequency, size, sketch_bits, percent)
-    index = shared_blocks(nodes.select("node", F.col("n").cast("int").alias("n"), F.posexplode("keys").alias("pos", "key")))
-    members = index.select("node").distinct().join(nodes.select("node", "digest", "id"), "node")
-    ids = members.groupBy("id").agg(F.collect_list(F.struct("digest", "node")).alias("own"))
-    texts = own.join(ids, own["__id"].eqNullSafe(ids["id"])).groupBy("__id", "own", F.xxhash64("__text")).agg(F.first("__text").alias("text"))
-    texts = written(_right_texts(texts.select(F.explode("own").alias("o"), "text").select("o.*", "text"), size), "jaccard-texts")
-
-    def bound(a, b):
-        """Two sets of sizes n share at most what stands from their first common key on, in either prefix."""
-        most = F.least(a("n") - a("pos"), b("n") - b("pos"))
-        return (F.lit(100 + percent) * most >= F.lit(percent) * (a("n") + b("n"))) & (F.lit(100) * F.least(a("n"), b("n")) >= F.lit(percent) * F.greatest(a("n"), b("n")))
-
-    # A block's first node is the one with the fewest rarer n-grams: of near copies, the least edited, which links with most.
-    comp = block_components(index, ["n", "pos"], bound, lambda pairs: _overlaps(pairs, texts, size, percent).filter("linked"), rounds, ("pos",))
-    firsts = sets.filter("n > 0").groupBy("digest").agg(F.min("id").alias("id"))
-    out = nodes.select("node", "digest").join(comp, "node", "left").select("digest", F.coalesce("comp", "node").alias("comp")).join(firsts, "digest")
-    low = out.groupBy("comp").agg(F.min("id").alias("component_id"))
-    label = out.join(low, "comp").select("digest", "component_id")
+    with scratch(docs.sparkSession), arrow_batches(docs.sparkSession):
+        frequency = _merged(seen.filter("slice is not null").select("slice", "counts"), sketch_bits)
+        nodes = _nodes(own, frequency, size, sketch_bits, percent)
+        index = shared_blocks(nodes.select("node", F.col("n").cast("int").alias("n"), F.posexplode("keys").alias("pos", "key")))
+        members = index.select("node").distinct().join(nodes.select("node", F.col("id").alias("__own"), "h"), "node")
+        found = own.join(members, own["__id"].eqNullSafe(members["__own"]) & (F.xxhash64("__text") == F.col("h")))
+        texts = written(found.groupBy("__own", "h", "node").agg(F.first("__text").alias("text")).select("node", "text"), "jaccard-texts")
+
+        def bound(a, b):
+            """Two sets of sizes n share at most what stands from their first common key on, in either prefix."""
+            most = F.least(a("n") - a("pos"), b("n") - b("pos"))
+            return (F.lit(100 + percent) * most >= F.lit(percent) * (a("n") + b("n"))) & (F.lit(100) * F.least(a("n"), b("n")) >= F.lit(percent) * F.greatest(a("n"), b("n")))
+
+        # A block's first node is the one with the fewest rarer n-grams: of near copies, the least edited, which links with most.
+        comp = block_components(index, ["n", "pos"], bound, lambda pairs: _overlaps(pairs, texts, size, percent).filter("linked"), rounds, ("pos",))
+        firsts = sets.filter("n > 0").groupBy("digest").agg(F.min("id").alias("id"))
+        out = nodes.select("node", "digest").join(comp, "node", "left").select("digest", F.coalesce("comp", "node").alias("comp")).join(firsts, "digest")
+        low = out.groupBy("comp").agg(F.min("id").alias("component_id"))
+        label = written(out.join(low, "comp").select("digest", "component_id"), "jaccard-labels", keep=True)
     full = sets.filter("n > 0").join(label, "digest").select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
     return full.unionByName(sets.filter("n = 0").select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("id").alias("component_id")))
-
-
-def _right_texts(texts: DataFrame, size: int) -> DataFrame:
-    """(node, text) where the text has the node's digest: an id may have several texts."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from xxhash import xxh3_128_digest
-
-        for batch in batches:
-            own = [xxh3_128_digest(shingle_set(t, size).tobytes()) for t in batch.column(2).to_pylist()]
-            yield batch.filter(pa.array([a == b for a, b in zip(own, batch.column(0).to_pylist(), strict=True)], pa.bool_())).select(["node", "text"])
-
-    return texts.select("digest", "node", "text").mapInArrow(run, "node long, text string")

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import arrow_batches, scratch, written
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -177,9 +177,11 @@ def find_personal_data(
     and ids are kept, each with its own spans. Other columns are ignored, whatever their names. With
     keep_text, the text comes along for redaction. An empty table gives an empty result.
     """
-    rows = written(scan(docs, id_col, text_col, keep_text).withColumn("__row", F.monotonically_increasing_id()), "pii-scan")
-    more = bootstrap(rows.filter(F.size("__seen") > 0), rounds, min_confidence, min_support)
-    more = more.groupBy("__row").agg(F.collect_list(F.struct("start", "end", "kind")).alias("__more"))
+    with arrow_batches(docs.sparkSession):
+        rows = written(scan(docs, id_col, text_col, keep_text).withColumn("__row", F.monotonically_increasing_id()), "pii-scan")
+    with scratch(docs.sparkSession):
+        more = bootstrap(rows.filter(F.size("__seen") > 0), rounds, min_confidence, min_support)
+        more = written(more.groupBy("__row").agg(F.collect_list(F.struct("start", "end", "kind")).alias("__more")), "pii-more", keep=True)
     spans = F.array_sort(
         F.concat("__base", F.coalesce("__more", F.array().cast(_SPAN))),
         lambda x, y: F.when((x.start == y.start) & (x.kind == y.kind), 0).when((x.start < y.start) | ((x.start == y.start) & (x.kind < y.kind)), -1).otherwise(1),
@@ -193,8 +195,9 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **op
 
     Columns and rows stay; overlapping spans become one, named by the first. A null text stays null.
     """
-    own = docs.withColumn("__whole", F.struct(*[F.col(c) for c in docs.columns]))
-    found = find_personal_data(own, "__whole", text_col, keep_text=True, **options)
+    others = [c for c in docs.columns if c != text_col]
+    own = docs.select(F.struct(F.lit(0).alias("__"), *[F.col(c) for c in others]).alias("__rest"), F.col(text_col).alias("__text"))
+    found = find_personal_data(own, "__rest", "__text", keep_text=True, **options)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -210,9 +213,8 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **op
                             floor = max(floor, x["end"])
                         text = "".join(parts) + text[floor:]
                     out.append(text)
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string())], names=["__whole", "__text"])
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string())], names=["__rest", "__text"])
 
-    kind = own.schema["__whole"].dataType.simpleString()
-    out = found.select("__whole", "__text", "spans").mapInArrow(run, f"__whole {kind}, __text string")
+    out = found.select("__rest", "__text", "spans").mapInArrow(run, f"__rest {own.schema['__rest'].dataType.simpleString()}, __text string")
     new = {text_col: F.col("__text"), "n_chars": F.length("__text").cast("long")}
-    return out.select(*[new.get(c, F.col(f"__whole.{c}")).alias(c) for c in docs.columns])
+    return out.select(*[new.get(c, F.col(f"__rest.`{c}`")).alias(c) for c in docs.columns])

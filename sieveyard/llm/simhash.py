@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .blocks import block_components, shared_blocks
-from .common import WORD, ascii_lower, let, text_or_empty, written
+from .common import WORD, ascii_lower, let, scratch, text_or_empty, written
 
 #: A fingerprint is two longs: 128 signed votes.
 BITS = 128
@@ -94,12 +94,13 @@ def near_components(prints: DataFrame, radius: int = 4, rounds: int = 3) -> Data
     prints: id, h0, h1, in any number of rows. Equal fingerprints become one node first. All pairs within
     the radius count, whatever the size of a block. Empty tables give empty results.
     """
-    nodes = prints.groupBy("h0", "h1").agg(F.min("id").alias("id"))
-    nodes = written(nodes.withColumn("node", F.monotonically_increasing_id()), "simhash-nodes")
-    close = lambda a, b: distance(a("h0"), a("h1"), b("h0"), b("h1")) <= radius
-    comp = block_components(shared_blocks(block_tables(nodes, radius)), ["h0", "h1"], close, lambda pairs: pairs, rounds)
-    out = nodes.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    return out.join(out.groupBy("comp").agg(F.min("id").alias("near_class")), "comp").select("h0", "h1", "near_class")
+    with scratch(prints.sparkSession):
+        nodes = prints.groupBy("h0", "h1").agg(F.min("id").alias("id"))
+        nodes = written(nodes.withColumn("node", F.monotonically_increasing_id()), "simhash-nodes")
+        close = lambda a, b: distance(a("h0"), a("h1"), b("h0"), b("h1")) <= radius
+        comp = block_components(shared_blocks(block_tables(nodes, radius)), ["h0", "h1"], close, lambda pairs: pairs, rounds)
+        out = nodes.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+        return written(out.join(out.groupBy("comp").agg(F.min("id").alias("near_class")), "comp").select("h0", "h1", "near_class"), "simhash-classes", keep=True)
 
 
 def near_pairs(prints: DataFrame, queries: DataFrame, radius: int = 4) -> DataFrame:
