@@ -110,7 +110,8 @@ def repeated_passages(
     columns are ignored, whatever their names.
     """
     own = chunks(docs, id_col, text_col, min_bytes, mask_bits, max_bytes).filter("id is not null").repartition("digest")
-    found = own.groupBy("digest").agg(F.min(F.struct("id", "start")).alias("first"), F.max("id").alias("last")).filter("first.id <> last")
+    # Both sides read all columns (no end is negative), so that Spark shuffles the chunks once and reads them twice.
+    found = own.groupBy("digest").agg(F.min(F.struct("id", "start")).alias("first"), F.max("id").alias("last"), F.max("end").alias("top")).filter("first.id <> last and top >= 0")
     rows = own.join(found.select("digest", "first"), "digest")
     rows = rows.select("id", "start", "end", F.col("first.id").alias("first_id"), ((F.col("first.id") == F.col("id")) & (F.col("first.start") == F.col("start"))).alias("is_first"))
     order = W.partitionBy("id").orderBy("start", "end")
