@@ -160,7 +160,7 @@ def _overlaps(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Da
     return joined.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long, linked boolean")
 
 
-def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80, sketch_bits: int = 22, rounds: int = 3) -> DataFrame:
+def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80, sketch_bits: int = 22, rounds: int = 2) -> DataFrame:
     """Documents linked by 100 * |A and B| >= percent * |A or B| of their word n-gram sets, as components.
 
     Returns id_col, n_shingles, component_id (the smallest id reachable, itself included). Every

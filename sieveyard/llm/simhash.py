@@ -88,7 +88,7 @@ def block_tables(prints: DataFrame, radius: int) -> DataFrame:
     return own.select(F.explode(keys).alias("key"), "node", "h0", "h1")
 
 
-def near_components(prints: DataFrame, radius: int = 4, rounds: int = 3) -> DataFrame:
+def near_components(prints: DataFrame, radius: int = 4, rounds: int = 2) -> DataFrame:
     """(h0, h1, near_class): fingerprints linked within the Hamming radius, as components; the class is the smallest id in it.
 
     prints: id, h0, h1, in any number of rows. Equal fingerprints become one node first. All pairs within

@@ -95,3 +95,14 @@ def test_components(spark):
     out = {r.node: r.comp for r in connected_components(edges).collect()}
     assert out == {**{i: 0 for i in range(61)}, 100: 100, 101: 100, 200: 150, 150: 150}
     assert connected_components(edges.filter(F.lit(False))).count() == 0
+    r = random.Random(14)
+    pairs = [(r.randrange(400), r.randrange(400)) for _ in range(260)]
+    parent = {i: i for p in pairs for i in p}
+
+    def find(i):
+        return i if parent[i] == i else find(parent[i])
+
+    for a, b in pairs:
+        parent[max(find(a), find(b))] = min(find(a), find(b))
+    got_ = {x.node: x.comp for x in connected_components(spark.createDataFrame(pairs, "a long, b long")).collect()}
+    assert got_ == {i: find(i) for i in parent}
