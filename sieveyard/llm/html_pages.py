@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 
 #: Classes and ids by which layouts name their parts (values that the model should learn to read).
 PARTS = {
@@ -22,6 +23,7 @@ _SYLLABLES = ("the", "an", "er", "in", "on", "at", "re", "ti", "en", "ou", "st",
 def labelled_page(seed: int) -> str:
     """A page whose elements carry data-y="1" (main text) or "0" where that changes from what stands around them."""
     r = random.Random(seed)
+    bare = r.random() < 0.12  # a page that names none of its parts
     word = lambda: "".join(r.choices(_SYLLABLES, k=r.choice((1, 1, 2, 2, 3))))
 
     def sentence(least: int = 4, most: int = 22) -> str:
@@ -35,6 +37,8 @@ def labelled_page(seed: int) -> str:
 
     def box(kind: str, inner: str, tag: str | None = None) -> str:
         semantic = {"nav": "nav", "header": "header", "footer": "footer", "aside": "aside"}
+        if bare:
+            return f'<div data-y="0">{inner}</div>'
         name = tag or (semantic[kind] if kind in semantic and r.random() < 0.5 else r.choice(("div", "div", "section")))
         mark = f' {r.choice(("class", "class", "id"))}="{r.choice(PARTS[kind])}"' if name in ("div", "section", "form", "p") or r.random() < 0.3 else ""
         return f'<{name}{mark} data-y="0">{inner}</{name}>'
@@ -81,17 +85,28 @@ def labelled_page(seed: int) -> str:
         return "".join(f"<p>{change(line())}{r.choice(('</p>', '<br>'))}" for _ in range(n))
 
     title = sentence(3, 9)[:-1]
-    body = paragraphs(r.choice((1, 2, 3, 5, 8, 14))) if r.random() < 0.7 else lines(r.choice((1, 2, 4, 8, 15, 40)))
+    body = paragraphs(r.choice((4, 8, 14))) if bare else paragraphs(r.choice((1, 2, 3, 5, 8, 14))) if r.random() < 0.7 else lines(r.choice((1, 2, 4, 8, 15, 40)))
     inside = [f() for f in (lambda: short("ad"), lambda: short("share"), lambda: short("aside"), form) if r.random() < 0.2]
     for x in inside:
         at = r.choice([i for i in range(len(body) + 1) if body[i : i + 2] in ("<p", "<h", "<u") or i in (0, len(body))])
         body = body[:at] + x + body[at:]
-    tag = r.choice(("article", "article", "main", "div", "section"))
-    mark = f' {r.choice(("class", "id"))}="{r.choice(CONTENT)}"' if tag in ("div", "section") or r.random() < 0.4 else ""
-    top = f"<h1>{title}</h1>" if r.random() < 0.9 else ""
+    tag = "div" if bare else r.choice(("article", "article", "main", "div", "section"))
+    mark = f' {r.choice(("class", "id"))}="{r.choice(CONTENT)}"' if not bare and (tag in ("div", "section") or r.random() < 0.4) else ""
+    top = f"<{(h := r.choice(('h1', 'h1', 'h2')))}>{title}</{h}>" if r.random() < 0.9 else ""
     if r.random() < 0.25:
-        body = f'<div class="{r.choice(CONTENT)}">{body}</div>'
-    main = f'<{tag}{mark} data-y="1">{top}{body}{comments() if r.random() < 0.15 else ""}</{tag}>'
+        body = "<div>" + body + "</div>" if bare else f'<div class="{r.choice(CONTENT)}">{body}</div>'
+    elif r.random() < 0.25:  # parts of the main text may be sections or boxes of their own
+        part = "div" if bare else r.choice(("section", "section", "div"))
+        body = "".join(f"<{part}>{x}</{part}>" for x in [body, *(f"<h2>{sentence(2, 5)[:-1]}</h2>{paragraphs(r.choice((1, 2, 4)))}" for _ in range(r.choice((1, 2))))])
+    if top and not bare and tag in ("article", "main") and r.random() < 0.3:  # an article's own header
+        by = f'<p class="{r.choice(("byline", "meta", "date", "author"))}">{word()} {word()}</p>' if r.random() < 0.6 else ""
+        top = f"<header>{top}{by}</header>"
+    plain = not bare and r.random() < 0.08  # main text that stands in the body itself
+    if not plain and not bare and r.random() < 0.08:
+        body = f"<p>{'<b>' * (r.random() < 0.3)}{sentence(1, 3)}</p>"
+    if plain:
+        top, body = (re.sub("<(p|h[1-6]|ul|blockquote|table|div|section|header)(?=[ >])", r'<\1 data-y="1"', x) for x in (f"<h1>{title}</h1>", paragraphs(r.choice((2, 3, 5, 8)))))
+    main = top + body if plain else f'<{tag}{mark} data-y="1">{top}{body}{comments() if r.random() < 0.15 else ""}</{tag}>'
     before = [f() for f in (lambda: box("header", f"<h1>{word()}</h1><p>{sentence(2, 7)}</p>" + (item_list(4) if r.random() < 0.4 else "")), lambda: box("nav", r.choice((item_list, links))(r.randint(3, 9))), lambda: short("notice"), lambda: short("ad"), form) if r.random() < 0.55]
     r.shuffle(before)
     after = [f() for f in (comments, lambda: short("aside"), lambda: short("share"), lambda: short("ad"), lambda: short("notice"), lambda: box("footer", r.choice((f"&copy; {word()} &middot; {sentence(3, 12)}", f"<p>{sentence(4, 15)}</p>{links(4)}")))) if r.random() < 0.5]

@@ -187,13 +187,14 @@ WORD_KINDS = (
 _TAG_OF = {t: i for i, kind in enumerate(TAG_KINDS) for t in kind}
 _WORD_OF = {w: i for i, kind in enumerate(WORD_KINDS) for w in kind.split()}
 N_TAGS, N_WORDS = len(TAG_KINDS) + 1, len(WORD_KINDS)
-N_FEATURES = N_TAGS + N_WORDS + 12
+N_OWN = N_TAGS + N_WORDS + 12
+N_FEATURES = 2 * N_OWN
 
 
 def node_features(page: Page) -> tuple[np.ndarray, np.ndarray]:
     """(features, edge kind of the link to the parent) of each element."""
     n = len(page.tags)
-    x = np.zeros((n, N_FEATURES))
+    x = np.zeros((n, N_OWN))
     kind = np.array([_TAG_OF.get(t, N_TAGS - 1) for t in page.tags])
     x[np.arange(n), kind] = 1
     for i, name in enumerate(page.names):
@@ -227,11 +228,15 @@ def node_features(page: Page) -> tuple[np.ndarray, np.ndarray]:
     x[:, b + 9] = own == 0
     x[:, b + 10] = named
     x[:, b + 11] = (all_text > 0) & (stops == 0) & (own > 0)
-    # An edge's potential depends on the child's tag, and on whether its name says that it is something else.
-    return x, kind * 2 + named
+    # Pages without any element that calls itself an article have weights and potentials of their own. Else an
+    # edge's potential depends on the child's tag, on whether its name says that it is something else, and on whether the parent is an article.
+    article = ((x[:, _TAG_OF["article"]] > 0) | (x[:, b - 1] > 0)) & ~named
+    bare = not article.any()
+    group = np.full(n, 2) if bare else (article[np.maximum(parents, 0)] & (parents >= 0)).astype(int)
+    return np.concatenate([x * (not bare), x * bare], axis=1), (kind * 2 + named) * 3 + group
 
 
-N_EDGES = 2 * N_TAGS
+N_EDGES = 6 * N_TAGS
 
 
 @dataclass(frozen=True)
@@ -314,7 +319,7 @@ def train(pages: list[str], steps: int = 250, rate: float = 0.15, decay: float =
 
 
 @lru_cache(maxsize=2)
-def trained(n_pages: int = 400, seed: int = 1) -> Model:
+def trained(n_pages: int = 600, seed: int = 1) -> Model:
     """The model trained on n_pages built pages: the bound of its sample, whatever the size of the input."""
     return train([labelled_page(seed * 100_003 + i) for i in range(n_pages)])
 
@@ -328,7 +333,7 @@ def main_texts(htmls: list[str | None], model: Model, threshold: float = 0.5) ->
     return [" ".join(text for i, text, _ in page.blocks if p[s + i] >= threshold) for page, s in zip(pages, forest.starts, strict=False)]
 
 
-def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", n_training: int = 400, batch_rows: int = 64) -> DataFrame:
+def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", n_training: int = 600, batch_rows: int = 64) -> DataFrame:
     """The main text of every whole page: id_col, url_col, text.
 
     Block elements of a page form a tree. Each is main text or not; weights on its tag, name, text and
