@@ -294,7 +294,8 @@ def train(docs: DataFrame, text_col: str = "text", discount: float = 0.75, shard
     os.makedirs(folder)
 
     def sorted_rows(rows: DataFrame) -> DataFrame:
-        return rows.repartition(min(parts, shards), "shard").sortWithinPartitions("shard")
+        n = min(parts, shards)
+        return rows.repartitionById(n, F.col("shard") % n).sortWithinPartitions("shard")
 
     def build_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shard, state in _shards(batches, _folding(_read_words)):
