@@ -60,7 +60,7 @@ def sainte_lague(cells: DataFrame, group: list[str], key: str) -> DataFrame:
 
 def mix(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = (5, 2, 1),
-    total_share: float = 1.5, max_repeat: int = 2, block_words: int = 16, shard_words: int = 2_000_000, seed: int = 17,
+    total_share: float = 1.5, max_repeat: int = 2, block_words: int = 16, shard_words: int = 250_000, seed: int = 17,
 ) -> DataFrame:
     """Words that a mix takes from each document: id_col, size, source_size, target, taken.
 
