@@ -1,4 +1,4 @@
-"""Document fingerprints: SimHash and permuted block tables. Native expressions alone."""
+"""Document fingerprints: SimHash and permuted block tables, and links by shared n-grams. Native expressions alone."""
 
 from __future__ import annotations
 
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .blocks import block_components, shared_blocks
 from .common import WORD, ascii_lower, let, scratch, text_or_empty, written
+from .components import connected_components
 
 #: A fingerprint is two longs: 128 signed votes.
 BITS = 128
@@ -88,17 +89,69 @@ def block_tables(prints: DataFrame, radius: int) -> DataFrame:
     return own.select(F.explode(keys).alias("key"), "node", "h0", "h1")
 
 
-def near_components(prints: DataFrame, radius: int = 4, rounds: int = 2) -> DataFrame:
+def common_terms(texts: DataFrame, size: int, share: int = 64, most: int = 4096) -> list[int]:
+    """Hashes of n-grams that many texts hold, by one text in `share`: at most `most` of them go to the driver."""
+    some = texts.filter(F.pmod(F.col("h"), F.lit(share)) == 0).groupBy("h").agg(F.first("t").alias("t"))
+    counts = some.select(F.explode(F.array_distinct(terms(F.col("t"), size))).alias("g")).groupBy("g").count().filter("count > 3")
+    return [r.g for r in counts.orderBy(F.col("count").desc(), "g").limit(most).collect()]
+
+
+def like_texts(texts: DataFrame, percent: int = 80, size: int = 5, rounds: int = 2) -> DataFrame:
+    """(h, comp): texts linked by 100 * |A and B| >= percent * |A or B| of their word n-gram sets, as components; texts without links are left out.
+
+    texts: t, and h, its XXH64, by which copies are one. Bits cannot find these: at a likeness of 0.8 two fingerprints
+    lie 20 to 26 bits apart, and tables that find all pairs so far apart have keys of 9 bits. So a block is an n-gram, and a text
+    stands in those of its first n - ceil(percent * n / 100) + 1 n-grams under one order for all: of two linked
+    texts, both then have one of them in common. Common n-grams come last in the order; which ones are known to be
+    changes the time, never the links. Overlaps are counted on whole sets.
+    """
+    common = common_terms(texts, size)
+
+    def first(own: Column) -> Column:
+        ordered = own
+        if common:
+            known = lambda g: g.isin(common)
+            ordered = F.concat(F.filter(own, lambda g: ~known(g)), F.filter(own, known))
+        n = F.size(own)
+        return F.struct(n.alias("n"), F.slice(ordered, F.lit(1), n - F.ceil(n * percent / F.lit(100)).cast("int") + 1).alias("keys"))
+
+    sets = texts.select(F.col("h").alias("node"), let(F.sort_array(F.array_distinct(terms(F.col("t"), size))), first).alias("s")).filter("s.n > 0")
+    index = sets.select("node", F.col("s.n").alias("n"), F.posexplode("s.keys").alias("pos", "key")).repartition("key").groupBy("key", "node").agg(F.min("n").alias("n"), F.min("pos").alias("pos"))
+
+    def bound(a, b):
+        """Two sets of sizes n share at most what stands from their first common key on, in either prefix."""
+        most = F.least(a("n") - a("pos"), b("n") - b("pos"))
+        return (F.lit(100 + percent) * most >= F.lit(percent) * (a("n") + b("n"))) & (F.lit(100) * F.least(a("n"), b("n")) >= F.lit(percent) * F.greatest(a("n"), b("n")))
+
+    def overlaps(pairs: DataFrame) -> DataFrame:
+        members = pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct()
+        held = written(texts.join(members, "h").groupBy("h").agg(F.first("t").alias("t")), "simhash-members")
+        joined = pairs.join(held.select(F.col("h").alias("a"), F.col("t").alias("ta")), "a").join(held.select(F.col("h").alias("b"), F.col("t").alias("tb")), "b")
+        own, other = F.array_distinct(terms(F.col("ta"), size)), F.array_distinct(terms(F.col("tb"), size))
+        counted = joined.select("a", "b", let(F.struct(own.alias("x"), other.alias("y")), lambda s: F.struct(F.size(F.array_intersect(s["x"], s["y"])).alias("both"), (F.size(s["x"]) + F.size(s["y"])).alias("sum"))).alias("c"))
+        return counted.filter(F.lit(100) * F.col("c.both") >= F.lit(percent) * (F.col("c.sum") - F.col("c.both")))
+
+    return block_components(shared_blocks(index), ["n", "pos"], bound, overlaps, rounds, ("pos",)).select(F.col("node").alias("h"), "comp")
+
+
+def near_components(prints: DataFrame, radius: int = 4, rounds: int = 2, groups: DataFrame | None = None) -> DataFrame:
     """(h0, h1, near_class): fingerprints linked within the Hamming radius, as components; the class is the smallest id in it.
 
     prints: id, h0, h1, in any number of rows. Equal fingerprints become one node first. All pairs within
-    the radius count, whatever the size of a block. Empty tables give empty results.
+    the radius count, whatever the size of a block. groups: h0, h1, group; fingerprints of one group are
+    linked too. Empty tables give empty results.
     """
     with scratch(prints.sparkSession):
         nodes = prints.groupBy("h0", "h1").agg(F.min("id").alias("id"))
         nodes = written(nodes.withColumn("node", F.monotonically_increasing_id()), "simhash-nodes")
         close = lambda a, b: distance(a("h0"), a("h1"), b("h0"), b("h1")) <= radius
         comp = block_components(shared_blocks(block_tables(nodes, radius)), ["h0", "h1"], close, lambda pairs: pairs, rounds)
+        if groups is not None:
+            known = nodes.select("h0", "h1", "node").join(groups, ["h0", "h1"])
+            lows = known.groupBy("group").agg(F.min("node").alias("low"))
+            more = known.join(lows, "group").select(F.col("node").alias("a"), F.col("low").alias("b"))
+            links = more.unionByName(comp.select(F.col("node").alias("a"), F.col("comp").alias("b"))).filter("a <> b")
+            comp = connected_components(written(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "simhash-links"))
         out = nodes.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
         return written(out.join(out.groupBy("comp").agg(F.min("id").alias("near_class")), "comp").select("h0", "h1", "near_class"), "simhash-classes", keep=True)
 
@@ -164,30 +217,34 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return prints.select(F.explode(F.sequence(F.lit(1).cast("long"), "times")).alias("k"), "id", "h0", "h1").select(F.col("id").alias(id_col), "h0", "h1")
 
 
-def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, radius: int = 4, buckets: int = 64) -> DataFrame:
+def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, radius: int = 4, buckets: int = 64, percent: int = 80) -> DataFrame:
     """Fingerprints of each text and of its edited text, and how like they are.
 
     The edited text: the last floor(n / 2) code points replaced by the first as many, or all, of the
     next document by descending id (after the last: the first). Returns id_col, n_chars,
     edited_sha256, fingerprint, edited_fingerprint (hex), near_edited, near_next, near_class (the
-    smallest id of those linked to it within the Hamming radius).
+    smallest id of those linked to it, within the Hamming radius or by a Jaccard likeness of at
+    least percent / 100 of their n-gram sets).
 
     Null texts count as empty; repeated rows and ids keep a row each, in the order of their texts; null
     ids come last. An empty table gives an empty result. Other columns are ignored, whatever their names.
-    Texts are shuffled once, by ranges of ids.
+    Whole texts are shuffled once, by ranges of ids, and those that share a rare n-gram with another again.
     """
     own = docs.select(F.col(id_col).alias("__id"), text_or_empty(text_col).alias("__text"))
     n, m = F.length("text"), F.floor(F.length("text") / 2).cast("int")
     paired = with_next(own, buckets).withColumn("edited", F.concat(F.substring("text", F.lit(1), n - m), F.substring(F.coalesce("next_text", F.lit("")), F.lit(1), m)))
     both = F.inline(F.array(F.struct(F.lit(0).alias("which"), F.col("text").alias("t")), F.struct(F.lit(1).alias("which"), F.col("edited").alias("t"))))
-    key = ["bucket", "pos", "id", "next_bucket", "next_pos", "which", "n_chars", "sha"]
-    rows = paired.select("bucket", "pos", "id", "next_bucket", "next_pos", n.cast("long").alias("n_chars"), F.sha2("edited", 256).alias("sha"), both)
+    key = ["bucket", "pos", "id", "next_bucket", "next_pos", "which", "n_chars", "sha", "h"]
+    rows = paired.select("bucket", "pos", "id", "next_bucket", "next_pos", F.xxhash64("text").alias("h"), n.cast("long").alias("n_chars"), F.sha2("edited", 256).alias("sha"), both)
     prints = written(vote(rows.select(*key, terms(F.col("t"), size).alias("terms")), key, "terms"), "simhash-prints")
     mine = prints.filter("which = 0")
     edits = prints.filter("which = 1").select("bucket", "pos", F.col("h0").alias("e0"), F.col("h1").alias("e1"))
     following = mine.select(F.col("bucket").alias("next_bucket"), F.col("pos").alias("next_pos"), F.col("h0").alias("f0"), F.col("h1").alias("f1"))
     out = mine.join(edits, ["bucket", "pos"]).join(following, ["next_bucket", "next_pos"])
-    out = out.join(near_components(mine.select("id", "h0", "h1"), radius), ["h0", "h1"])
+    with scratch(docs.sparkSession):
+        like = like_texts(own.select(F.col("__text").alias("t"), F.xxhash64("__text").alias("h")), percent, size)
+        groups = written(mine.select("h", "h0", "h1").distinct().join(like, "h").select("h0", "h1", F.col("comp").alias("group")).distinct(), "simhash-groups", keep=True)
+    out = out.join(near_components(mine.select("id", "h0", "h1"), radius, groups=groups), ["h0", "h1"])
     return out.select(
         F.col("id").alias(id_col), "n_chars", F.col("sha").alias("edited_sha256"), hexed("h0", "h1").alias("fingerprint"), hexed("e0", "e1").alias("edited_fingerprint"),
         likeness(distance(F.col("h0"), F.col("h1"), F.col("e0"), F.col("e1"))).alias("near_edited"), likeness(distance(F.col("h0"), F.col("h1"), F.col("f0"), F.col("f1"))).alias("near_next"), "near_class",

@@ -19,7 +19,7 @@ from sieveyard.llm.simhash import edited_fingerprints, fingerprints, near_compon
 from sieveyard.llm.substrings import chunks, cuts, remove_spans, repeated_passages
 from sieveyard.llm.tokenizer import encode_decode, encoding, pieces
 
-from .helpers import BASE, LONG, RUN, TEXTS, docs, held_out, words
+from .helpers import BASE, LONG, RUN, TEXTS, docs, held_out, shingles, words
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -206,6 +206,28 @@ def test_block_tables_find_all_within_the_radius(spark):
     assert all(classes[(h0, h1)] == find(i) for i, h0, h1 in rows)
 
 
+def test_classes_hold_all_pairs_of_jaccard_80(spark):
+    r = random.Random(21)
+    rows = []
+    for k in range(40):
+        text = [f"w{r.randrange(5000)}" for _ in range(r.choice((6, 30, 200, 400)))]
+        rows.append((10 * k, " ".join(text)))
+        for j in range(1, 4):  # each copy has one word in 60, 45 or 30 changed, or one
+            edited = list(text)
+            for at in r.sample(range(len(text)), max(1, len(text) // (75 - 15 * j))):
+                edited[at] = f"v{r.randrange(5000)}"
+            rows.append((10 * k + j, " ".join(edited)))
+    sets = {i: shingles(t) for i, t in rows}
+    like = [(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    assert len(like) > 20
+    got = {x.doc_id: x.near_class for x in edited_fingerprints(docs(spark, rows), buckets=3).collect()}
+    low = {i: i for i in sets}
+    for _ in range(5):
+        for a, b in like:
+            low[a] = low[b] = min(low[a], low[b])
+    assert got == low
+
+
 # --- substring dedup
 
 
