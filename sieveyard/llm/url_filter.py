@@ -82,8 +82,9 @@ def filter_urls(
     """A verdict on every url: id_col, host, path, rule (or null), verdict (allow or block), template, purity.
 
     The longest fitting rule decides. Else the url's template does: it is blocked if the share of bad
-    among its labelled urls, smoothed by one of either, reaches max_purity. Labels are the rules' verdicts,
-    and bad_host_words where no rule fits. A template without labels has purity 0.5 and is allowed.
+    among its labelled urls, smoothed by one of either, reaches max_purity. Smoothing keeps a template of
+    few labels below it: there a url that is labelled bad itself is blocked if its template has no good one. Labels are
+    the rules' verdicts, and bad_host_words where no rule fits. A template without labels has purity 0.5 and is allowed.
 
     Null urls and those without :// have an empty host and path, and are allowed. Repeated rows are kept.
     An empty table gives an empty result. Other columns are ignored, whatever their names.
@@ -98,5 +99,5 @@ def filter_urls(
     tree = template_tree(own.select("host", "shape", "bad", "good"), depth)
     purity = (F.col("n_bad") + 1) / (F.col("n_bad") + F.col("n_good") + 2)
     judged = own.join(tree, ["host", "shape"], "left").withColumn("purity", purity)
-    by_tree = F.when(F.col("purity") >= max_purity, "block").otherwise("allow")
+    by_tree = F.when((F.col("purity") >= max_purity) | ((F.col("bad") == 1) & (F.col("n_good") == 0)), "block").otherwise("allow")
     return judged.select(F.col("id").alias(id_col), "host", "path", "rule", F.coalesce("by_rule", by_tree).alias("verdict"), F.concat(F.lit("/"), F.array_join("template", "/")).alias("template"), "purity")

@@ -89,6 +89,12 @@ def test_rules(spark, url, host, path, rule, verdict):
     assert (x.host, x.path, x.rule, x.verdict) == (host, path, rule, verdict)
 
 
+def test_small_hosts_of_bad_urls_are_blocked(spark):
+    urls = ["http://casino-win.shop/a/1", "http://casino-win.shop/b/x", "http://m.ads-track.example.com/en/152", "http://fine.shop/a/1", "http://fine.shop/b/x"]
+    out = {r.page_id: r for r in filter_urls(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")).collect()}
+    assert [out[i].verdict for i in range(len(urls))] == ["block", "block", "block", "allow", "allow"] and all(x.rule is None for x in out.values())
+
+
 def test_templates_are_rejected_by_purity(spark):
     rows = [(i, f"http://cheap-pills.shop/{w}/{i}.html") for i, w in enumerate(("a", "b") * 20)] + [(100 + i, f"http://fine.shop/item/{i}") for i in range(20)]
     rows += [(200 + i, f"http://many.shop/{chr(97 + i)}{chr(98 + i)}x/page") for i in range(20)] + [(300, None), (300, None)]
