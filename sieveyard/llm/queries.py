@@ -31,7 +31,10 @@ def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     def listed(spans: str) -> Column:
         return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", F.get(names, x["kind"]), x["start"], x["end"])), ",")
 
-    counts = [F.size(F.filter("base", lambda x, k=k: x["kind"] == k)).cast("long").alias(f"n_{kind}") for k, kind in enumerate(KINDS)]
+    def count_of(kind: int) -> Column:  # a lambda of two parameters would get the element's index as its second
+        return F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long")
+
+    counts = [count_of(k).alias(f"n_{kind}") for k, kind in enumerate(KINDS)]
     return found.select("doc_id", *counts, F.sha2(listed("base"), 256).alias("base_sha256"), listed("spans").alias("spans"))
 
 
