@@ -18,7 +18,7 @@ def shared_blocks(index: DataFrame) -> DataFrame:
 
 
 def block_components(
-    index: DataFrame, payload: list[str], fits: Callable[[Callable[[str], Column], Callable[[str], Column]], Column], check: Callable[[DataFrame], DataFrame], rounds: int, first: tuple[str, ...] = ()
+    index: DataFrame, payload: list[str], fits: Callable[[Callable[[str], Column], Callable[[str], Column]], Column], check: Callable[[DataFrame], DataFrame], rounds: int, first: tuple[str | Column, ...] = ()
 ) -> DataFrame:
     """(node, comp) for the nodes that have a link; every pair that shares a key and fits is either checked or already connected.
 

@@ -15,6 +15,8 @@ from .components import connected_components
 #: A fingerprint is two longs: 128 signed votes.
 BITS = 128
 _LANES = 0x0000000100000001
+#: Parts that a text's index rows are dealt to when its partners are counted.
+SPREAD = 8
 
 
 def terms(text: Column, size: int = 5) -> Column:
@@ -103,7 +105,8 @@ def like_texts(texts: DataFrame, percent: int = 80, size: int = 5, rounds: int =
     lie 20 to 26 bits apart, and tables that find all pairs so far apart have keys of 9 bits. So a block is an n-gram, and a text
     stands in those of its first n - ceil(percent * n / 100) + 1 n-grams under one order for all: of two linked
     texts, both then have one of them in common. Common n-grams come last in the order; which ones are known to be
-    changes the time, never the links. Overlaps are counted on whole sets.
+    changes the time, never the links. A pair must share as many keys as its sizes ask before its overlap
+    is counted on whole sets.
     """
     common = common_terms(texts, size)
 
@@ -116,14 +119,30 @@ def like_texts(texts: DataFrame, percent: int = 80, size: int = 5, rounds: int =
         return F.struct(n.alias("n"), F.slice(ordered, F.lit(1), n - F.ceil(n * percent / F.lit(100)).cast("int") + 1).alias("keys"))
 
     sets = texts.select(F.col("h").alias("node"), let(F.sort_array(F.array_distinct(terms(F.col("t"), size))), first).alias("s")).filter("s.n > 0")
-    index = sets.select("node", F.col("s.n").alias("n"), F.posexplode("s.keys").alias("pos", "key")).repartition("key").groupBy("key", "node").agg(F.min("n").alias("n"), F.min("pos").alias("pos"))
+    # Size and place share a long, so that a row of the index, the largest table here, has three of them.
+    packed = sets.select("node", F.col("s.n").alias("n"), F.posexplode("s.keys").alias("pos", "key")).select("key", "node", (F.shiftleft(F.col("n").cast("long"), 32) + F.col("pos")).alias("at"))
+    index = packed.repartition("key").groupBy("key", "node").agg(F.min("at").alias("at"))
+    n_of, pos_of = (lambda at: F.shiftright(at, 32)), (lambda at: at.bitwiseAND(F.lit(0xFFFFFFFF)))
+    blocks = shared_blocks(index)
 
     def bound(a, b):
         """Two sets of sizes n share at most what stands from their first common key on, in either prefix."""
-        most = F.least(a("n") - a("pos"), b("n") - b("pos"))
-        return (F.lit(100 + percent) * most >= F.lit(percent) * (a("n") + b("n"))) & (F.lit(100) * F.least(a("n"), b("n")) >= F.lit(percent) * F.greatest(a("n"), b("n")))
+        n, m = n_of(a("at")), n_of(b("at"))
+        most = F.least(n - pos_of(a("at")), m - pos_of(b("at")))
+        return (F.lit(100 + percent) * most >= F.lit(percent) * (n + m)) & (F.lit(100) * F.least(n, m) >= F.lit(percent) * F.greatest(n, m))
+
+    def enough_keys(pairs: DataFrame) -> DataFrame:
+        """Pairs that share as many keys as a link needs: what two sets share beyond the end of the prefix that ends first lies
+        in that set's rest, of ceil(percent * n / 100) - 1 n-grams; all else are common keys. Rows are spread by b, so a text with many partners is not one task's."""
+        of_a = blocks.select(F.col("node").alias("a"), "key", F.col("at").alias("at_a"), F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))).alias("part"))
+        each = pairs.withColumn("part", F.pmod(F.xxhash64("b"), F.lit(SPREAD)).cast("int")).join(of_a, ["a", "part"])
+        each = each.join(blocks.select(F.col("node").alias("b"), "key", F.col("at").alias("at_b")), ["b", "key"])
+        counted = each.groupBy("a", "b").agg(F.count("*").alias("c"), n_of(F.max("at_a")).alias("n"), n_of(F.max("at_b")).alias("m"))
+        most = F.col("c") + F.ceil(F.greatest("n", "m") * percent / F.lit(100)) - 1
+        return counted.filter(F.lit(100 + percent) * most >= F.lit(percent) * (F.col("n") + F.col("m"))).select("a", "b")
 
     def overlaps(pairs: DataFrame) -> DataFrame:
+        pairs = written(enough_keys(pairs), "simhash-candidates")
         members = pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct()
         held = written(texts.join(members, "h").groupBy("h").agg(F.first("t").alias("t")), "simhash-members")
         joined = pairs.join(held.select(F.col("h").alias("a"), F.col("t").alias("ta")), "a").join(held.select(F.col("h").alias("b"), F.col("t").alias("tb")), "b")
@@ -131,7 +150,7 @@ def like_texts(texts: DataFrame, percent: int = 80, size: int = 5, rounds: int =
         counted = joined.select("a", "b", let(F.struct(own.alias("x"), other.alias("y")), lambda s: F.struct(F.size(F.array_intersect(s["x"], s["y"])).alias("both"), (F.size(s["x"]) + F.size(s["y"])).alias("sum"))).alias("c"))
         return counted.filter(F.lit(100) * F.col("c.both") >= F.lit(percent) * (F.col("c.sum") - F.col("c.both")))
 
-    return block_components(shared_blocks(index), ["n", "pos"], bound, overlaps, rounds, ("pos",)).select(F.col("node").alias("h"), "comp")
+    return block_components(blocks, ["at"], bound, overlaps, rounds, (pos_of(F.col("at")),)).select(F.col("node").alias("h"), "comp")
 
 
 def near_components(prints: DataFrame, radius: int = 4, rounds: int = 2, groups: DataFrame | None = None) -> DataFrame:
@@ -169,39 +188,64 @@ def near_pairs(prints: DataFrame, queries: DataFrame, radius: int = 4) -> DataFr
     return found.join(print_ids, ["h0", "h1"]).join(query_ids, ["q0", "q1"]).select("query_id", "id", "bits_apart")
 
 
-def _buckets(docs: DataFrame, n: int) -> Column:
-    """Ranges of ids, about alike in size: the number of bounds at or below an id. n bounds go to the driver."""
-    bounds = docs.approxQuantile("__id", [i / n for i in range(1, n)], 0.1 / n) if n > 1 else []
-    own = F.array(*[F.lit(int(b)) for b in sorted(set(bounds))]) if bounds else F.array().cast("array<bigint>")
-    return F.coalesce(F.size(F.filter(own, lambda b: b <= F.col("__id"))), F.lit(-1))
+#: Most ranges that the rows are cut into, and rows that a range's bounds are chosen from: the bound of what goes to the driver.
+MOST_RANGES, RANGE_SAMPLE = 16384, 32
 
 
-def with_next(docs: DataFrame, buckets: int) -> DataFrame:
+def _range_of(rows: DataFrame, range_bytes: int) -> Column:
+    """Number of the bounds at or below a row's `__key`; bounds cut the rows into ranges of about range_bytes of the input.
+
+    Bounds are picked from rows by the hash of their key, of any type, and stand in the plan as one literal.
+    A row looks among every s-th bound first, then among the s bounds that follow.
+    """
+    size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    unknown = size >= 1 << 60  # Spark gives a huge size where it knows none
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")) if unknown else min(-(-size // range_bytes), MOST_RANGES)
+    total = rows.count() if n > 1 else 0
+    n = min(n, total // 2)
+    if n < 2:
+        return F.lit(0)
+    share = max(total // (n * RANGE_SAMPLE), 1)
+    some = rows.select("__key").filter(F.pmod(F.xxhash64("__key", F.lit(5)), F.lit(share)) == 0)
+    every = max(total // share // n, 1)
+    picked = some.withColumn("k", F.row_number().over(W.orderBy("__key"))).filter(F.col("k") % every == 0)  # n * RANGE_SAMPLE rows or so
+    kind = f"array<{rows.schema['__key'].dataType.simpleString()}>"
+    listed = picked.agg(F.to_json(F.array_sort(F.collect_set("__key")), {"ignoreNullFields": "false"}).alias("b"), F.count("*").alias("n")).first()
+    if not listed.n:
+        return F.lit(0)
+    step = max(int(listed.n**0.5), 1)
+    bounds = F.from_json(F.lit(listed.b), kind)
+
+    def below(some_bounds: Column) -> Column:
+        return F.size(F.filter(some_bounds, lambda x: x <= F.col("__key")))
+
+    coarse = F.filter(bounds, lambda _, i: i % step == 0)
+    return let(below(coarse), lambda c: F.when(c == 0, 0).otherwise((c - 1) * step + below(F.slice(bounds, (c - 1) * step + 1, F.lit(step)))))
+
+
+def with_next(docs: DataFrame, range_bytes: int = 16 << 20) -> DataFrame:
     """(bucket, pos, id, text, next_text, next_bucket, next_pos): each document with the next by descending id.
 
-    Ids are cut into ranges, each sorted by itself. The first document of a range also stands, as a
+    Rows are cut into ranges of ids, each sorted by itself. The first row of a range also stands, as a
     ghost, at the end of the range before it, and the very first at the end of the last: so no range
     has to see another, and no task sees all. Equal ids go by the text's hash; null ids come last.
     """
-    own = docs.withColumn("bucket", _buckets(docs, buckets))
-    tops = own.groupBy("bucket").agg(F.max("__id").alias("top")).orderBy(F.col("bucket").desc()).collect()  # a row for each range
-    if not tops:
-        return own.select("bucket", F.lit(0).alias("pos"), F.col("__id").alias("id"), F.col("__text").alias("text"), F.col("__text").alias("next_text"), F.lit(0).alias("next_bucket"), F.lit(0).alias("next_pos"))
-    names = [r.bucket for r in tops]
-    after = dict(zip(names, [*names[1:], names[0]], strict=True))
-    before = {b: a for a, b in after.items()}
-    move = F.create_map(*[F.lit(x) for pair in before.items() for x in pair])
-    follows = F.create_map(*[F.lit(x) for pair in after.items() for x in pair])
-    known = [r.top for r in tops if r.top is not None]
-    is_top = F.coalesce(F.col("__id").isin(known), F.lit(False)) | (F.col("__id").isNull() if len(known) < len(tops) else F.lit(False))
-    ghosts = own.filter(is_top).withColumn("bucket", move[F.col("bucket")])
-    every = own.withColumn("ghost", F.lit(0)).unionByName(ghosts.withColumn("ghost", F.lit(1)))
-    order = W.partitionBy("bucket").orderBy("ghost", F.col("__id").desc_nulls_last(), F.xxhash64("__text"), "__text")
+    own = docs.withColumn("__key", F.struct(F.col("__id").alias("id"), F.bitwise_not(F.xxhash64("__text")).alias("h")))
+    own = own.withColumn("bucket", _range_of(own, range_bytes))
+    tops = own.groupBy("bucket").agg(F.max("__key").alias("top"))  # a row for each range
+    order = W.orderBy(F.col("bucket").desc())
+    tops = tops.withColumns({"first": F.max("bucket").over(W.partitionBy()), "last": F.min("bucket").over(W.partitionBy()), "before": F.lag("bucket").over(order), "after": F.lead("bucket").over(order)})
+    tops = written(tops.select("bucket", "top", F.coalesce("before", "last").alias("before"), F.coalesce("after", "first").alias("after")), "simhash-ranges")
+    heads = F.broadcast(tops.select(F.col("bucket").alias("__b"), "top", "before"))  # MOST_RANGES rows at most
+    ghosts = own.join(heads, (F.col("bucket") == F.col("__b")) & (F.col("__key") == F.col("top"))).select("__id", "__text", "__key", F.col("before").alias("bucket"))
+    every = own.select("__id", "__text", "__key", "bucket", F.lit(0).alias("ghost")).unionByName(ghosts.withColumn("ghost", F.lit(1)))
+    order = W.partitionBy("bucket").orderBy("ghost", F.col("__key").desc(), "__text")
     own = every.withColumns({"pos": F.row_number().over(order), "next_text": F.lead("__text").over(order), "next_ghost": F.lead("ghost").over(order)})
     over = F.col("next_ghost") == 1
-    return own.filter("ghost = 0").select(
+    own = own.filter("ghost = 0").join(F.broadcast(tops.select(F.col("bucket").alias("__b"), "after")), F.col("bucket") == F.col("__b"))
+    return own.select(
         "bucket", "pos", F.col("__id").alias("id"), F.col("__text").alias("text"), "next_text",
-        F.when(over, follows[F.col("bucket")]).otherwise(F.col("bucket")).alias("next_bucket"), F.when(over, 1).otherwise(F.col("pos") + 1).alias("next_pos"),
+        F.when(over, F.col("after")).otherwise(F.col("bucket")).alias("next_bucket"), F.when(over, 1).otherwise(F.col("pos") + 1).alias("next_pos"),
     )
 
 
@@ -217,7 +261,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return prints.select(F.explode(F.sequence(F.lit(1).cast("long"), "times")).alias("k"), "id", "h0", "h1").select(F.col("id").alias(id_col), "h0", "h1")
 
 
-def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, radius: int = 4, buckets: int = 64, percent: int = 80) -> DataFrame:
+def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, radius: int = 4, range_bytes: int = 16 << 20, percent: int = 80) -> DataFrame:
     """Fingerprints of each text and of its edited text, and how like they are.
 
     The edited text: the last floor(n / 2) code points replaced by the first as many, or all, of the
@@ -227,12 +271,12 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     least percent / 100 of their n-gram sets).
 
     Null texts count as empty; repeated rows and ids keep a row each, in the order of their texts; null
-    ids come last. An empty table gives an empty result. Other columns are ignored, whatever their names.
-    Whole texts are shuffled once, by ranges of ids, and those that share a rare n-gram with another again.
+    ids come last; ids may be of any type that has an order. An empty table gives an empty result. Other columns are ignored, whatever their names.
+    Whole texts are shuffled once, by ranges of ids, and those that may be linked with another again.
     """
     own = docs.select(F.col(id_col).alias("__id"), text_or_empty(text_col).alias("__text"))
     n, m = F.length("text"), F.floor(F.length("text") / 2).cast("int")
-    paired = with_next(own, buckets).withColumn("edited", F.concat(F.substring("text", F.lit(1), n - m), F.substring(F.coalesce("next_text", F.lit("")), F.lit(1), m)))
+    paired = with_next(own, range_bytes).withColumn("edited", F.concat(F.substring("text", F.lit(1), n - m), F.substring(F.coalesce("next_text", F.lit("")), F.lit(1), m)))
     both = F.inline(F.array(F.struct(F.lit(0).alias("which"), F.col("text").alias("t")), F.struct(F.lit(1).alias("which"), F.col("edited").alias("t"))))
     key = ["bucket", "pos", "id", "next_bucket", "next_pos", "which", "n_chars", "sha", "h"]
     rows = paired.select("bucket", "pos", "id", "next_bucket", "next_pos", F.xxhash64("text").alias("h"), n.cast("long").alias("n_chars"), F.sha2("edited", 256).alias("sha"), both)

@@ -145,7 +145,7 @@ def test_pieces_join_and_do_not_change_tokens():
 
 
 def test_fingerprints(spark):
-    out = edited_fingerprints(docs(spark), buckets=3).collect()
+    out = edited_fingerprints(docs(spark)).collect()
     assert len(out) == len(TEXTS)
     by_text = {}
     rows = sorted(((i, t or "") for i, t in TEXTS), key=lambda x: -1 if x[0] is None else x[0], reverse=True)
@@ -164,6 +164,15 @@ def test_fingerprints(spark):
     assert edited_fingerprints(docs(spark, [])).collect() == []
 
 
+@pytest.mark.parametrize("kind", ["string", "date", "double"])
+def test_ids_of_any_type_that_has_an_order(spark, kind):
+    rows = [(f"{2000 + i}-01-01" if kind == "date" else str(i), f"text number {i} of some") for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id string, text string").withColumn("doc_id", F.col("doc_id").cast(kind))
+    ordered = sorted(rows, key=lambda x: float(x[0]) if kind == "double" else x[0], reverse=True)
+    want = Counter(hashlib.sha256((t[: len(t) - len(t) // 2] + ordered[(k + 1) % 60][1][: len(t) // 2]).encode()).hexdigest() for k, (_, t) in enumerate(ordered))
+    assert Counter(x.edited_sha256 for x in edited_fingerprints(df).collect()) == want
+
+
 def test_one_row_follows_itself(spark):
     x = edited_fingerprints(docs(spark, [(3, "abcd")])).first()
     assert x.near_next == 1.0 and x.edited_sha256 == hashlib.sha256(b"abab").hexdigest()
@@ -220,7 +229,7 @@ def test_classes_hold_all_pairs_of_jaccard_80(spark):
     sets = {i: shingles(t) for i, t in rows}
     like = [(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
     assert len(like) > 20
-    got = {x.doc_id: x.near_class for x in edited_fingerprints(docs(spark, rows), buckets=3).collect()}
+    got = {x.doc_id: x.near_class for x in edited_fingerprints(docs(spark, rows)).collect()}
     low = {i: i for i in sets}
     for _ in range(5):
         for a, b in like:
