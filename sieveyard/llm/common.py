@@ -12,7 +12,7 @@ from ..sources.shared import arrow_batches, scratch, written
 SPACES = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
 
-__all__ = ["SPACES", "WORD", "arrow_batches", "ascii_lower", "let", "scratch", "table", "text_or_empty", "word_count", "words", "written"]
+__all__ = ["SPACES", "WORD", "arrow_batches", "ascii_lower", "let", "scratch", "spread_join", "table", "text_or_empty", "word_count", "words", "written"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,3 +35,9 @@ def word_count(text: Column) -> Column:
 def words(text: str) -> list[bytes]:
     """The contract's words of a text, A-Z lower-cased: bytes.lower() and bytes.split() know ASCII alone."""
     return text.encode("utf-8", "surrogatepass").lower().split()
+
+
+def spread_join(left: DataFrame, right: DataFrame, on: list[str], by: Column, how: str = "inner", parts: int = 16) -> DataFrame:
+    """Join on columns of which one value may hold many of the left rows: these are dealt to so many parts by the hash of `by`, and the right ones stand in each."""
+    dealt = left.withColumn("__part", F.pmod(F.xxhash64(by), F.lit(parts)).cast("int"))
+    return dealt.join(right.withColumn("__part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))), [*on, "__part"], how).drop("__part")

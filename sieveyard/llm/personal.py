@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_batches, scratch, written
+from .common import arrow_batches, scratch, spread_join, written
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -20,9 +21,13 @@ _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _TOKEN = re.compile(r"[^\x20\x09-\x0D]+")
-_IDENTIFIER = re.compile(r"[0-9A-Za-z@._%+()/:-]*[0-9@][0-9A-Za-z@._%+()/:-]*")
+#: A run with @, or one of digits and the marks that stand between them.
+_RUN = re.compile(r"[0-9A-Za-z@._%+()/:-]++")
+_DIGIT = re.compile("[0-9]")
+_PARTS = re.compile(r"[0-9().+/-]++")
 _EDGE = ".,;:!?\"'()[]{}<>|*#$%&="
-_DIGITS, _LETTERS = re.compile("[0-9]+"), re.compile("[^\\W\\d_]+")
+#: Longer contexts and instances are named by their digest.
+_NAME_CHARS = 64
 
 
 def luhn(digits: str) -> bool:
@@ -60,46 +65,93 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found, key=lambda x: (x[0], x[2]))
 
 
-def shape(token: str) -> str:
-    """Letters and digits by run, other characters as they are; digit runs over three keep their length."""
-    return _LETTERS.sub("a", _DIGITS.sub(lambda m: f"9{len(m[0])}" if len(m[0]) > 3 else "9", token))[:40]
+def _named(text: str) -> str:
+    return text if len(text) <= _NAME_CHARS else "#" + blake2b(text.encode("utf-8", "surrogatepass"), digest_size=16).hexdigest()
 
 
-def _context(words: list[tuple[int, int, str]], i: int) -> tuple[str, str]:
-    left = words[i - 1][2].strip(_EDGE).lower() if i else "^"
-    right = words[i + 1][2].strip(_EDGE).lower() if i + 1 < len(words) else "$"
-    return left[:40], right[:40]
+def coarse(text: str) -> str | None:
+    """What a pattern asks of an instance beside its context: an address with @, or a number, by its count of digits.
+
+    Other tokens are of no kind that a base match has: letters without @, and up to three digits.
+    """
+    if "@" in text:
+        return "@"
+    digits = sum("0" <= c <= "9" for c in text)
+    if digits < 4 or not all(c in "0123456789().+/- " for c in text):
+        return None
+    return "9-6" if digits <= 6 else "9-19" if digits <= 19 else "9-more"
+
+
+def _trimmed(text: str, a: int, b: int) -> tuple[int, int]:
+    """A run without the marks around it; a bracket stays where its other half is inside."""
+    while a < b:
+        own = text[a:b]
+        tail = own.lstrip("./:-_)%" if ")" in own else "./:-_%(")
+        head = tail.rstrip("./:-_(%+" if "(" in tail else "./:-_%+)")
+        if len(head) == len(own):
+            break
+        a, b = b - len(tail), b - len(tail) + len(head)
+    return a, b
+
+
+def _candidates(text: str, base: list[tuple[int, int, int]]) -> Iterator[tuple[int, int]]:
+    """Identifier-like spans outside the base matches: runs with a digit or @; numbers one blank apart make one span."""
+    k, last, top = 0, None, 0
+    for run in _RUN.finditer(text):
+        parts = [run] if "@" in run[0] else _PARTS.finditer(text, *run.span()) if _DIGIT.search(run[0]) else ()
+        for m in parts:
+            while k < len(base) and base[k][0] < m.end():
+                top, k = max(top, base[k][1]), k + 1
+            if top > m.start():
+                continue
+            a, b = _trimmed(text, *m.span())
+            if a == b:
+                continue
+            numeric = _PARTS.fullmatch(text, a, b) is not None
+            if last and numeric and last[2] and a - last[1] == 1 and text[last[1]] == " ":
+                last = (last[0], b, True)
+                continue
+            if last:
+                yield last[:2]
+            last = (a, b, numeric)
+    if last:
+        yield last[:2]
 
 
 def occurrences(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, str, str, str, str, int]]:
-    """Identifier-like tokens with their shape and neighbours: (start, end, instance, shape, left, right, base kind or -1).
+    """Base matches, the seeds, and identifier-like spans, which patterns may discover: (start, end, instance, coarse kind, left, right, base kind or -1).
 
-    Base matches are the seeds; other tokens with a digit or @ are what patterns may discover.
+    left and right are the words beside the span, or what stands beside it in its own word ("tel:"). Linear in the text.
     """
     if not base and not re.search("[0-9@]", text):
         return []
-    words = [(m.start(), m.end(), m[0]) for m in _TOKEN.finditer(text)]
-    found, k = [], 0
-    for i, (a, b, w) in enumerate(words):
-        while k < len(base) and base[k][1] <= a:
-            k += 1
-        if k < len(base) and base[k][0] < b:
-            if base[k][0] >= a:  # a seed counts at the word in which it begins
-                s, e, kind = base[k]
-                left = _context(words, i)[0]
-                j = i
-                while j + 1 < len(words) and words[j + 1][0] < e:
-                    j += 1
-                found.append((s, e, text[s:e], shape(text[s:e]), left, _context(words, j)[1], kind))
-            continue
-        m = _IDENTIFIER.search(w) if len(w) <= 80 else None
-        if m and len(core := m[0].strip("./:-_()")) >= 6 and sum(c in "0123456789" for c in core) >= 4:
-            s = a + m.start() + m[0].index(core)
-            left, right = _context(words, i)
-            found.append((s, s + len(core), core, shape(core), left, right, -1))
+    spans = sorted([*base, *((a, b, -1) for a, b in _candidates(text, base) if coarse(text[a:b]))])
+    if not spans:
+        return []
+    found, words, before, word = [], _TOKEN.finditer(text), "", next(_TOKEN.finditer(text), None)
+    next(words, None)
+    last_end = 0
+    for i, (a, b, kind) in enumerate(spans):
+        while word and word.end() <= a:
+            before, word = word[0], next(words, None)
+        left = _context(text[max(word.start(), min(last_end, a)) : a]) or _context(before)
+        stop = spans[i + 1][0] if i + 1 < len(spans) else len(text)
+        after = _REST.match(text, b, max(stop, b))
+        right = _context(after[0])
+        if not right and (following := _NEXT.match(text, after.end())):
+            right = _context(following[1])
+        found.append((a, b, _named(text[a:b]), coarse(text[a:b]) or "", left, right, kind))
+        last_end = max(last_end, b)
     return found
 
 
+_REST, _NEXT = re.compile(r"[^\x20\x09-\x0D]*+"), re.compile(r"[\x20\x09-\x0D]++([^\x20\x09-\x0D]++)")
+
+
+def _context(word: str) -> str:
+    return _named(word.strip(_EDGE).lower())
+
+
 _SPAN = "array<struct<start:long,end:long,kind:int>>"
 _SEEN = "array<struct<start:long,end:long,instance:string,shape:string,left:string,right:string,kind:int>>"
 
@@ -133,47 +185,48 @@ def scan(docs: DataFrame, id_col: str, text_col: str, keep_text: bool) -> DataFr
 def bootstrap(seen: DataFrame, rounds: int, min_confidence: float, min_support: int) -> DataFrame:
     """Score the pattern-instance graph and return discovered spans: __row, start, end, kind.
 
-    A pattern is the word to the left or to the right, with the token's shape. In each round a
-    pattern's confidence for a kind is the smoothed share of known instances of that kind among all
-    distinct instances that it takes; patterns of enough confidence and support pass their kind to
-    the other instances, and an instance becomes known if the best pattern of each side agrees, or
-    one pattern is twice as well supported as asked. Everything is joins and grouped sums on the
-    occurrence table, which holds only tokens with digits, not the texts.
+    A pattern is the word to the left or to the right, with the instance's coarse kind; so it reaches
+    instances of other forms than the seeds'. In each round a pattern's confidence for a kind is the
+    smoothed share of known instances of that kind among all distinct instances that it takes;
+    patterns of enough confidence and support pass their kind to the other instances, and an instance becomes
+    known if patterns of both sides agree, or one pattern is twice as well supported as asked. Rounds end
+    when nothing new is found, or after `rounds`. Everything is joins and grouped sums on the
+    occurrence table, which holds only identifier-like spans, not the texts; joins are spread, since one
+    context or one instance may hold a large share of them.
     """
     occurrence = seen.select("__row", F.explode("__seen").alias("o")).select("__row", "o.*")
-    edges = occurrence.select(
-        F.explode(F.array(F.concat(F.lit("L "), "left", F.lit(" "), "shape"), F.concat(F.lit("R "), "right", F.lit(" "), "shape"))).alias("pattern"), "instance", "kind"
-    ).groupBy("pattern", "instance").agg(F.max("kind").alias("kind"))
-    edges = written(edges, "pii-edges")
+    sides = F.array(*[F.struct(F.lit(s[0]).alias("side"), F.col(s).alias("word")) for s in ("left", "right")])
+    edges = occurrence.select(F.explode(sides).alias("p"), "shape", "instance", "kind").filter("p.word <> ''")
+    edges = edges.select(F.concat_ws(" ", "p.side", "shape", "p.word").alias("pattern"), "instance", "kind")
+    edges = written(edges.groupBy("pattern", "instance").agg(F.max("kind").alias("kind")), "pii-edges")
     known = edges.filter("kind >= 0").groupBy("instance").agg(F.min("kind").alias("known"))
-    learned = None
+    edges, learned = edges.drop("kind"), None
     for _ in range(rounds):
-        state = edges.drop("kind").join(known, "instance", "left")
+        state = written(spread_join(edges, known, ["instance"], F.col("pattern"), "left"), "pii-state")
         totals = state.groupBy("pattern").agg(F.count("*").alias("n"), *[F.count_if(F.col("known") == k).alias(f"n{k}") for k in range(len(KINDS))])
         best = F.greatest(*[F.col(f"n{k}") for k in range(len(KINDS))])
         which = F.coalesce(*[F.when(F.col(f"n{k}") == best, F.lit(k)) for k in range(len(KINDS))])
         patterns = totals.select("pattern", which.alias("pkind"), best.alias("support"), (best / (F.col("n") + 1)).alias("confidence"))
         patterns = patterns.filter((F.col("support") >= min_support) & (F.col("confidence") >= min_confidence))
-        votes = state.filter("known is null").join(patterns, "pattern").groupBy("instance", "pkind")
+        votes = spread_join(state.filter("known is null"), patterns, ["pattern"], F.col("instance")).groupBy("instance", "pkind")
         votes = votes.agg(F.sum("confidence").alias("score"), F.max("support").alias("support"), F.countDistinct(F.substring("pattern", 1, 1)).alias("sides"))
         found = votes.filter((F.col("sides") == 2) | (F.col("support") >= 2 * min_support))
-        found = found.groupBy("instance").agg(F.max_by("pkind", F.struct("score", -F.col("pkind"))).alias("known"))
-        found = written(found, "pii-found")
+        found = written(found.groupBy("instance").agg(F.max_by("pkind", F.struct("score", -F.col("pkind"))).alias("known")), "pii-found")
         learned = found if learned is None else learned.unionByName(found)
         if found.isEmpty():
             break
         known = known.unionByName(found)
-    return occurrence.filter("kind < 0").join(learned, "instance").select("__row", "start", "end", F.col("known").alias("kind"))
+    return spread_join(occurrence.filter("kind < 0"), learned, ["instance"], F.struct("__row", "start")).select("__row", "start", "end", F.col("known").alias("kind"))
 
 
 def find_personal_data(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = 3, min_confidence: float = 0.7, min_support: int = 4, keep_text: bool = False
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = 20, min_confidence: float = 0.7, min_support: int = 4, keep_text: bool = False
 ) -> DataFrame:
     """Personal data of every whole text: id_col, base and spans arrays of struct<start, end, kind>.
 
     base: email, ip, card and phone matches that pass their checks, leftmost and non-overlapping per
     kind; offsets count code points, the end is exclusive. spans: base ones and those that
-    bootstrapped patterns add, by start, then kind. Null and empty texts have none. Repeated rows
+    bootstrapped patterns add, by start, then kind; those never overlap a base one. Null and empty texts have none. Repeated rows
     and ids are kept, each with its own spans. Other columns are ignored, whatever their names. With
     keep_text, the text comes along for redaction. An empty table gives an empty result.
     """

@@ -1,5 +1,6 @@
 """Main text, URL filters, source mixing, and the pipeline."""
 
+import random
 from collections import defaultdict
 
 import pytest
@@ -89,20 +90,65 @@ def test_rules(spark, url, host, path, rule, verdict):
     assert (x.host, x.path, x.rule, x.verdict) == (host, path, rule, verdict)
 
 
-def test_small_hosts_of_bad_urls_are_blocked(spark):
-    urls = ["http://casino-win.shop/a/1", "http://casino-win.shop/b/x", "http://m.ads-track.example.com/en/152", "http://fine.shop/a/1", "http://fine.shop/b/x"]
-    out = {r.page_id: r for r in filter_urls(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")).collect()}
-    assert [out[i].verdict for i in range(len(urls))] == ["block", "block", "block", "allow", "allow"] and all(x.rule is None for x in out.values())
-
-
-def test_templates_are_rejected_by_purity(spark):
-    rows = [(i, f"http://cheap-pills.shop/{w}/{i}.html") for i, w in enumerate(("a", "b") * 20)] + [(100 + i, f"http://fine.shop/item/{i}") for i in range(20)]
-    rows += [(200 + i, f"http://many.shop/{chr(97 + i)}{chr(98 + i)}x/page") for i in range(20)] + [(300, None), (300, None)]
-    out = {r.page_id: r for r in filter_urls(spark.createDataFrame(rows, "page_id long, url string")).collect()}
-    assert all(out[i].verdict == "block" and out[i].rule is None for i in range(40)) and all(out[100 + i].verdict == "allow" for i in range(20))
-    assert {out[i].template for i in range(40)} == {"/a|/{n}.html"} and {out[200 + i].template for i in range(20)} == {"/*/page"} and {out[100 + i].template for i in range(20)} == {"/item/{n}"}
-    assert filter_urls(spark.createDataFrame(rows, "page_id long, url string")).count() == len(rows)
-    assert filter_urls(spark.createDataFrame([], "page_id long, url string")).collect() == []
+def planted_urls():
+    """(id, url, label, truth): sections and users' pages of 30 hosts; seven in ten of a section's urls are labelled."""
+    r = random.Random(4)
+    out = []
+    for h in range(30):
+        for section, bad in (("promo", True), ("win", True), ("news", False), ("help", False), ("about", False)):
+            out += [(f"https://www.site{h}.shop/{section}/{r.randrange(10**6)}/", bad) for _ in range(24)]
+        out += [(f"http://host{h}.info/user{w}/{r.choice(('a', 'b'))}", True) for w in ("".join(r.choices("abcdefgh", k=9)) for _ in range(24))]
+        out += [(f"http://plain{h}.info/x/{i}", False) for i in range(12)]
+    return [(i, u, int(bad) if "plain" not in u and r.random() < 0.7 else None, bad) for i, (u, bad) in enumerate(out)]
+
+
+def test_labels_spread_to_unlabelled_urls_of_a_template(spark):
+    rows = planted_urls()
+    df = spark.createDataFrame(rows, "page_id long, url string, bad int, truth boolean")
+    out = {x.page_id: x for x in filter_urls(df.drop("bad"), labelled=df).collect()}
+    assert len(out) == len(rows) and all(x.rule is None for x in out.values())
+    own = [(out[i].verdict == "block", truth) for i, _, label, truth in rows if label is None]
+    hit = sum(v and t for v, t in own)
+    assert hit > 0.95 * sum(t for _, t in own) and hit == sum(v for v, _ in own)
+    assert {out[i].template for i, u, *_ in rows if "//host" in u} <= {"/*/a", "/*/b", "/*/~"}
+    assert {out[i].template.split("/")[1] for i, u, *_ in rows if "/news/" in u or "/help/" in u} <= {"~good", "~"}  # alike in their labels, so one branch
+    assert {x.verdict for x in filter_urls(df).collect()} == {"allow"}  # no labels, no verdicts
+
+
+def test_rules_label_the_rest_of_a_template(spark):
+    urls = [f"http://a.shop/x{w}/{i}" for i, w in enumerate("abcdefghijklmnopqrst")] + ["http://b.shop/x/1", "http://deep.shop" + "/d" * 300, "http://deep.shop" + "/d" * 299 + "/e"]
+    rules = tuple(("block", f"a.shop/x{w}/") for w in "abcdefghijklmnopqrs")
+    out = {r.page_id: r for r in filter_urls(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), rules=rules).collect()}
+    assert out[19].rule is None and out[19].verdict == "block" and out[19].template == "/*/{n}" and (out[19].n_bad, out[19].n_good) == (19, 0)
+    assert out[20].verdict == out[21].verdict == "allow" and out[21].template != out[22].template and out[21].template.count("/") == 300
+
+
+def test_purities_equal_a_plain_walk_down_the_tree(spark):
+    urls = [("h.a.shop", "/s/1", 1), ("h.a.shop", "/s/2", 1), ("h.a.shop", "/s/3", None), ("h.a.shop", "/t/1", 0), ("h.a.shop", "/t/2", 0), ("h.a.shop", "/t/3", 0), ("g.a.shop", "/q", None)]
+    df = spark.createDataFrame([(i, f"x://{h}{p}", b) for i, (h, p, b) in enumerate(urls)], "page_id long, url string, bad int")
+    out = {r.page_id: r for r in filter_urls(df, labelled=df, z=0.0).collect()}  # no branch is alike at 0
+
+    def walk(*nodes):
+        purity, last = 0.5, None
+        for bad, good, unlabelled in nodes:
+            if (bad, good, unlabelled) != last:
+                purity = (bad + unlabelled / 4 + 2 * purity) / (bad + good + unlabelled / 2 + 2)
+            last = (bad, good, unlabelled)
+        return purity
+
+    assert out[0].purity == pytest.approx(walk((2, 3, 2), (2, 3, 1), (2, 0, 1)), abs=1e-12) and out[0].template == "/s/{n}"
+    assert out[3].purity == pytest.approx(walk((2, 3, 2), (2, 3, 1), (0, 3, 0)), abs=1e-12) and out[6].purity == pytest.approx(walk((2, 3, 2), (0, 0, 1)), abs=1e-12)
+    more = spark.createDataFrame([("x://g.a.shop/q", 1), ("x://g.a.shop/q", 1), ("x://g.a.shop/q", 0), ("x://g.a.shop/other", 1), ("x://g.a.shop/r", None), (None, 1)], "url string, bad int")
+    x = {r.page_id: r for r in filter_urls(df, labelled=more).collect()}[6]  # the majority counts, and urls that are no page's
+    assert (x.n_bad, x.n_good, x.template) == (2, 0, "/~")
+
+
+def test_url_rows_of_every_kind(spark):
+    rows = [(200 + i, f"http://many.shop/{chr(97 + i)}{chr(98 + i)}x/page") for i in range(20)] + [(300, None), (300, None), (None, "http://a.b/c"), (301, "x" * 100_000), (302, "http://" + "h" * 50_000 + "/" + "p/" * 500)]
+    df = spark.createDataFrame([(*r, "t", 5) for r in rows], "page_id long, url string, template string, n int")
+    out = filter_urls(df).collect()
+    assert len(out) == len(rows) and {x.template for x in out if x.host == "many.shop"} == {"/*/page"}
+    assert filter_urls(df.limit(0)).collect() == []
 
 
 # --- mixing
