@@ -143,7 +143,8 @@ def like_texts(texts: DataFrame, percent: int = 80, size: int = 5, rounds: int =
 
     def overlaps(pairs: DataFrame) -> DataFrame:
         pairs = written(enough_keys(pairs), "simhash-candidates")
-        members = pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct()
+        # Written first, so that Spark knows their size and sends them to the texts while they are few, and not the texts to them.
+        members = written(pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct(), "simhash-named")
         held = written(texts.join(members, "h").groupBy("h").agg(F.first("t").alias("t")), "simhash-members")
         joined = pairs.join(held.select(F.col("h").alias("a"), F.col("t").alias("ta")), "a").join(held.select(F.col("h").alias("b"), F.col("t").alias("tb")), "b")
         own, other = F.array_distinct(terms(F.col("ta"), size)), F.array_distinct(terms(F.col("tb"), size))
