@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .common import written
+
 #: Bytes that the rolling hash sees; a chunk is never shorter, so cuts depend on the chunk's own bytes alone.
 WINDOW = 16
 _GEAR = np.random.default_rng(11).integers(0, 2**32, 256, dtype=np.uint32)
@@ -62,15 +64,23 @@ def _back(own: np.ndarray, at: int) -> int:
     return at
 
 
+#: Digests that hold more than one in HOT_SHARE of all repeated chunks (so fewer than HOT_SHARE digests) are dealt to HOT_PARTS parts.
+HOT_SHARE, HOT_PARTS = 4096, 64
+_DIGEST = ["d0", "d1"]
+
+
 def chunks(docs: DataFrame, id_col: str, text_col: str, min_bytes: int, mask_bits: int, max_bytes: int) -> DataFrame:
-    """(id, start, end, digest): the chunks of every whole text, offsets in code points. No shuffle."""
+    """(row, id, start, end, d0, d1): the chunks of every whole text, offsets in code points, the digest in two longs. No shuffle.
+
+    row numbers the rows of docs, so that null and repeated ids take part.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, 256):
                 batch = whole.slice(at, 256)
                 owner, starts, ends, digests = [], [], [], []
-                for k, text in enumerate(batch.column(1).to_pylist()):
+                for k, text in enumerate(batch.column(2).to_pylist()):
                     data = (text or "").encode("utf-8", "surrogatepass")
                     own = cuts(data, min_bytes, mask_bits, max_bytes)
                     if not own:
@@ -81,57 +91,82 @@ def chunks(docs: DataFrame, id_col: str, text_col: str, min_bytes: int, mask_bit
                     starts.append(np.append(0, points[:-1]))
                     owner.append(np.full(len(own), k))
                 if owner:
-                    taken = batch.column(0).take(pa.array(np.concatenate(owner)))
-                    yield pa.RecordBatch.from_arrays(
-                        [taken, pa.array(np.concatenate(starts), pa.int64()), pa.array(np.concatenate(ends), pa.int64()), pa.array(digests, pa.binary())], names=["id", "start", "end", "digest"]
-                    )
+                    of = pa.array(np.concatenate(owner))
+                    halves = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
+                    columns = [np.concatenate(starts), np.concatenate(ends), halves[:, 0].copy(), halves[:, 1].copy()]
+                    yield pa.RecordBatch.from_arrays([batch.column(0).take(of), batch.column(1).take(of), *(pa.array(c, pa.int64()) for c in columns)], names=["row", "id", "start", "end", "d0", "d1"])
 
-    own = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
-    return own.mapInArrow(run, f"id {own.schema[0].dataType.simpleString()}, start long, end long, digest binary")
+    own = docs.select(F.monotonically_increasing_id().alias("__row"), F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
+    return own.mapInArrow(run, f"row long, id {own.schema[1].dataType.simpleString()}, start long, end long, d0 long, d1 long")
+
+
+def _repeated(own: DataFrame) -> DataFrame:
+    """Chunks whose digest has several places, with the first one: by id (null last), row and start.
+
+    Digests are counted in parts before they are shuffled, so a common one costs a row a task. The
+    chunks then meet the repeated digests in one shuffle, hot digests in HOT_PARTS parts; the first place is the least of
+    the parts' least.
+    """
+    counts = own.groupBy(*_DIGEST).agg(F.count("*").alias("places")).filter("places > 1")
+    counts = written(counts, "substring-digests")
+    top = counts.agg(F.sum("places")).first()[0] or 0
+    hot = counts.filter(F.col("places") * HOT_SHARE > top).select(*_DIGEST, F.lit(True).alias("hot"))  # fewer than HOT_SHARE
+    dealt = own.join(F.broadcast(hot), _DIGEST, "left")
+    dealt = dealt.select(*own.columns, F.when(F.col("hot"), F.pmod(F.xxhash64("row", "start"), F.lit(HOT_PARTS)).cast("int")).otherwise(0).alias("part"))
+
+    def in_parts(rows: DataFrame, places: Column) -> DataFrame:
+        last = F.when(places * HOT_SHARE > F.lit(top), HOT_PARTS - 1).otherwise(0)
+        return rows.withColumn("part", F.explode(F.sequence(F.lit(0), last)))
+
+    key = [*_DIGEST, "part"]
+    found = dealt.join(in_parts(counts, F.col("places")), key)
+    place = F.struct(F.col("id").isNull().alias("none"), "id", "row", "start")
+    # Both readings of `found` take all columns (no end is negative), so that Spark shuffles the chunks once and reads them twice.
+    first = found.groupBy(*key).agg(F.min(place).alias("first"), F.max("places").alias("places"), F.max("end").alias("top")).filter("top >= 0")
+    first = first.groupBy(*_DIGEST).agg(F.min("first").alias("first"), F.max("places").alias("places"))
+    return found.drop("places").join(in_parts(first, F.col("places")).drop("places"), key).drop("part")
 
 
 def repeated_passages(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_bytes: int = 24, mask_bits: int = 4, max_bytes: int = 128, min_chars: int = 100
 ) -> DataFrame:
-    """Passages that repeat across documents, one row for each document that has one.
+    """Passages that repeat, across documents or inside one: a row for each document that has one.
 
     Returns id_col, n_spans, repeated_chars, removed_chars, spans (start:end by start, comma-joined,
     code points, end exclusive), removed (the spans that are not the passage's first place and
-    may go), first_ids (the documents that hold the first places, itself left out).
+    may go), first_ids (the documents that hold the first places, the row itself left out).
 
-    Chunks of one digest in two or more documents are repeated; those that touch make one span, and a
+    Chunks of a digest that has several places are repeated; those that touch make one span, and a
     span counts from min_chars. With chunks of about 40 bytes, a passage of 50 words holds several
-    whole ones, wherever it stands. The first place is the smallest (id, start). Digests are shuffled
-    once; a grouped count finds the repeated ones, so a digest's rows are never gathered in memory,
-    and islands of chunks are found by running sums in each document.
+    whole ones, wherever it stands. Digests are counted, and chunks shuffled, once; islands of chunks are found
+    by running sums in each document.
 
-    Null and empty texts have no chunks. Rows of one id count as one document for the question
-    whether a chunk repeats, and null ids as none. An empty table gives an empty result. Other
+    Null and empty texts have no chunks. Each row is a document of its own, so repeated rows and ids and null ids take
+    part and are returned; a null id comes after all others when the first place is chosen. An empty table gives an empty result. Other
     columns are ignored, whatever their names.
     """
-    own = chunks(docs, id_col, text_col, min_bytes, mask_bits, max_bytes).filter("id is not null").repartition("digest")
-    # Both sides read all columns (no end is negative), so that Spark shuffles the chunks once and reads them twice.
-    found = own.groupBy("digest").agg(F.min(F.struct("id", "start")).alias("first"), F.max("id").alias("last"), F.max("end").alias("top")).filter("first.id <> last and top >= 0")
-    rows = own.join(found.select("digest", "first"), "digest")
-    rows = rows.select("id", "start", "end", F.col("first.id").alias("first_id"), ((F.col("first.id") == F.col("id")) & (F.col("first.start") == F.col("start"))).alias("is_first"))
-    order = W.partitionBy("id").orderBy("start", "end")
+    own = chunks(docs, id_col, text_col, min_bytes, mask_bits, max_bytes)
+    rows = _repeated(own)
+    is_first = (F.col("first.row") == F.col("row")) & (F.col("first.start") == F.col("start"))
+    rows = rows.select("row", "id", "start", "end", F.struct(F.col("first.row").alias("row"), F.col("first.id").alias("id")).alias("first"), is_first.alias("is_first"))
+    order = W.partitionBy("row").orderBy("start", "end")
     rows = rows.withColumn("new", F.coalesce((F.col("start") > F.max("end").over(order.rowsBetween(W.unboundedPreceding, -1))).cast("int"), F.lit(1)))
     rows = rows.withColumn("island", F.sum("new").over(order.rowsBetween(W.unboundedPreceding, W.currentRow)))
     rows = rows.withColumn("first_run", F.sum(F.coalesce((F.col("is_first") != F.lag("is_first").over(order)).cast("int"), F.lit(0))).over(order.rowsBetween(W.unboundedPreceding, W.currentRow)))
-    runs = rows.groupBy("id", "island", "first_run", "is_first").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.collect_set("first_id").alias("firsts"))
-    runs = runs.withColumn("width", F.col("end") - F.col("start"))
-    islands = runs.groupBy("id", "island").agg(
-        F.min("start").alias("start"), F.max("end").alias("end"), F.flatten(F.collect_list("firsts")).alias("firsts"),
+    runs = rows.groupBy("row", "island", "first_run", "is_first").agg(F.first("id").alias("id"), F.min("start").alias("start"), F.max("end").alias("end"), F.collect_set("first").alias("firsts"))
+    islands = runs.groupBy("row", "island").agg(
+        F.first("id").alias("id"), F.min("start").alias("start"), F.max("end").alias("end"), F.flatten(F.collect_list("firsts")).alias("firsts"),
         F.collect_list(F.when(~F.col("is_first"), F.struct("start", "end"))).alias("removed"),
     ).filter(F.col("end") - F.col("start") >= min_chars)
-    out = islands.groupBy("id").agg(
-        F.count("*").alias("n_spans"), F.sum(F.col("end") - F.col("start")).alias("repeated_chars"),
+    out = islands.groupBy("row").agg(
+        F.first("id").alias("id"), F.count("*").alias("n_spans"), F.sum(F.col("end") - F.col("start")).alias("repeated_chars"),
         F.sort_array(F.collect_list(F.struct("start", "end"))).alias("all"), F.sort_array(F.flatten(F.collect_list("removed"))).alias("removed"), F.flatten(F.collect_list("firsts")).alias("firsts"),
     )
     removed_chars = F.aggregate("removed", F.lit(0).cast("long"), lambda a, x: a + x["end"] - x["start"])
+    others = F.filter("firsts", lambda x: (x["row"] != F.col("row")) & x["id"].isNotNull())
     return out.select(
         F.col("id").alias(id_col), "n_spans", "repeated_chars", removed_chars.alias("removed_chars"), listed("all").alias("spans"), listed("removed").alias("removed"),
-        F.array_sort(F.array_distinct(F.filter("firsts", lambda x: x != F.col("id")))).alias("first_ids"),
+        F.array_sort(F.array_distinct(F.transform(others, lambda x: x["id"]))).alias("first_ids"),
     )
 
 

@@ -4,7 +4,7 @@ import hashlib
 import math
 import random
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
@@ -260,7 +260,7 @@ def test_passages_that_repeat(spark):
     rows = [(i, f"{prose(r.randrange(0, 90))} {passage} {prose(r.randrange(0, 90))}") for i in range(12)] + [(100 + i, prose(200)) for i in range(12)]
     rows += [(200, "éè " + prose(100) + " " + passage), (300, None), (301, ""), (None, passage), (302, prose(3) * 2)]
     out = {x.doc_id: x for x in repeated_passages(docs(spark, rows)).collect()}
-    assert set(out) == {*range(12), 200}
+    assert set(out) == {*range(12), 200, None}
     texts = dict(rows)
     for i, x in out.items():
         for a, b in (map(int, s.split(":")) for s in x.spans.split(",")):
@@ -271,6 +271,61 @@ def test_passages_that_repeat(spark):
     assert repeated_passages(docs(spark, [])).collect() == []
 
 
+def plain_passages(rows, min_chars=100):
+    """The query's rows by a plain count of all chunks."""
+    places, own = defaultdict(list), []
+    for row, (i, text) in enumerate(rows):
+        data, at, mine = (text or "").encode(), 0, []
+        for end in cuts(data, 24, 4, 128):
+            start = len(data[:at].decode())
+            mine.append((start, start + len(data[at:end].decode()), data[at:end]))
+            places[data[at:end]].append((i is None, i or 0, row, start, i))
+            at = end
+        own.append(mine)
+    out = Counter()
+    for row, (i, _) in enumerate(rows):
+        islands = []
+        for a, b, c in own[row]:
+            if len(places[c]) > 1:
+                first = min(places[c], key=lambda x: x[:4])
+                if not islands or islands[-1][-1][1] < a:
+                    islands.append([])
+                islands[-1].append((a, b, first[2:4] == (row, a), first[4] if first[2] != row else None))
+        islands = [x for x in islands if x[-1][1] - x[0][0] >= min_chars]
+        removed = []
+        for x in islands:
+            for k, (a, b, is_first, _) in enumerate(x):
+                if not is_first and k and not x[k - 1][2]:
+                    removed[-1] = (removed[-1][0], b)
+                elif not is_first:
+                    removed.append((a, b))
+        spans = [(x[0][0], x[-1][1]) for x in islands]
+        listed = lambda z: ",".join(f"{a}:{b}" for a, b in z)
+        if spans:
+            firsts = tuple(sorted({f for x in islands for *_, f in x if f is not None}))
+            out[i, len(spans), sum(b - a for a, b in spans), sum(b - a for a, b in removed), listed(spans), listed(removed), firsts] += 1
+    return out
+
+
+def test_passages_equal_a_plain_count_of_chunks(spark):
+    r = random.Random(12)
+    prose = lambda n: " ".join("".join(r.choices("abcdefghij", k=r.randrange(2, 9))) for _ in range(n))
+    shared = [prose(60) for _ in range(4)]
+    inside = prose(80)
+    rows = [(i if i % 5 else None if i % 10 else 3, " ".join(r.choice([prose(20), r.choice(shared)]) for _ in range(6))) for i in range(60)]
+    rows += [(900, f"{inside} {prose(30)} {inside}"), (901, prose(50) + " " + "the very same line of a page " * 40), *TEXTS]
+    got = Counter((x.doc_id, x.n_spans, x.repeated_chars, x.removed_chars, x.spans, x.removed, tuple(x.first_ids)) for x in repeated_passages(docs(spark, rows)).collect())
+    assert got == plain_passages(rows)
+    assert any(k[0] == 900 and k[-1] == () and k[3] > 300 for k in got)  # a passage that repeats inside one document
+
+
+def test_hot_digests_are_dealt_to_parts(spark, monkeypatch):
+    rows = [(i, "the very same line of text, longer than a hundred characters, that all of these documents hold in one place or another " + "z" * (i % 7)) for i in range(300)]
+    monkeypatch.setattr("sieveyard.llm.substrings.HOT_SHARE", 64)
+    got = Counter((x.doc_id, x.n_spans, x.repeated_chars, x.removed_chars, x.spans, x.removed, tuple(x.first_ids)) for x in repeated_passages(docs(spark, rows)).collect())
+    assert got == plain_passages(rows)
+
+
 def test_chunk_edges(spark):
     df = docs(spark)
     own = chunks(df, "doc_id", "text", 24, 4, 128).groupBy("id").agg(F.max("end").alias("n")).collect()
