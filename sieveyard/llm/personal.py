@@ -70,7 +70,7 @@ def _named(text: str) -> str:
 
 
 def coarse(text: str) -> str | None:
-    """What a pattern asks of an instance beside its context: an address with @, or a number, by its count of digits.
+    """What a pattern asks of an instance beside its context: an address with @, or a number of 4 to 19 digits or of more.
 
     Other tokens are of no kind that a base match has: letters without @, and up to three digits.
     """
@@ -79,7 +79,7 @@ def coarse(text: str) -> str | None:
     digits = sum("0" <= c <= "9" for c in text)
     if digits < 4 or not all(c in "0123456789().+/- " for c in text):
         return None
-    return "9-6" if digits <= 6 else "9-19" if digits <= 19 else "9-more"
+    return "9" if digits <= 19 else "9-more"
 
 
 def _trimmed(text: str, a: int, b: int) -> tuple[int, int]:

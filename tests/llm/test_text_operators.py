@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from sieveyard.llm.elias_fano import Sequence, encode, map_arrays, named, part, write_arrays
 from sieveyard.llm.language_model import held_out_scores, quantised
-from sieveyard.llm.personal import base_spans, find_personal_data, luhn, redact
+from sieveyard.llm.personal import base_spans, find_personal_data, luhn, occurrences, redact
 from sieveyard.llm.quality import FEATURES, decision, judge, learn, text_statistics
 from sieveyard.llm.simhash import edited_fingerprints, fingerprints, near_components, near_pairs
 from sieveyard.llm.substrings import chunks, cuts, remove_spans, repeated_passages
@@ -61,6 +61,60 @@ def test_patterns_discover_unseen_identifiers(spark):
     assert all(set(map(tuple, x.base)) <= set(map(tuple, x.spans)) for x in out.values())
 
 
+def plain_bootstrap(texts, rounds=20, min_confidence=0.7, min_support=4):
+    """{(text's place, start, end): kind} of what the patterns add, by plain loops."""
+    seen = [(k, *o) for k, t in enumerate(texts) for o in occurrences(t or "", base_spans(t or ""))]
+    edges = defaultdict(set)
+    for _, _, _, instance, form, left, right, _ in seen:
+        for side, word in (("left", left), ("right", right)):
+            if word:
+                edges[side, form, word].add(instance)
+    with_context = {i for x in edges.values() for i in x}
+    known = {}
+    for _, _, _, instance, _, _, _, kind in seen:
+        if kind >= 0 and instance in with_context:
+            known[instance] = max(kind, known.get(instance, -1)) if instance not in known else min(kind, known[instance])
+    learned = {}
+    for _ in range(rounds):
+        votes = defaultdict(list)
+        for pattern, instances in edges.items():
+            support, kind = max((sum(known.get(i) == k for i in instances), -k) for k in range(4))
+            confidence = support / (len(instances) + 1)
+            if support >= min_support and confidence >= min_confidence:
+                for i in instances - set(known):
+                    votes[i, -kind].append((pattern[0], confidence, support))
+        found = defaultdict(list)
+        for (i, kind), v in votes.items():
+            if len({x[0] for x in v}) == 2 or max(x[2] for x in v) >= 2 * min_support:
+                found[i].append((sum(x[1] for x in v), -kind))
+        if not found:
+            break
+        new = {i: -max(v)[1] for i, v in found.items()}
+        known |= new
+        learned |= new
+    return {(k, a, b): learned[i] for k, a, b, i, _, _, _, kind in seen if kind < 0 and i in learned}
+
+
+def test_patterns_reach_identifiers_of_other_forms(spark):
+    r = random.Random(6)
+    digits = lambda n: "".join(r.choices("0123456789", k=n))
+    rows = [(i, f"{r.choice(('please', 'or'))} phone +1 555 {digits(3)} {digits(4)} today {digits(2)} words") for i in range(40)]
+    rows += [(100 + i, f"mail: user{i}@site{i}.org for more") for i in range(20)]
+    rows += [(200, "phone (743) 555-3824 today"), (201, "the phone 555-3824, today"), (202, "mail: someone@localhost for more"), (203, "x" * 90 + "phone 7435553824 today"), (204, "in 2024 and phone then 1234567 never")]
+    rows += [(300 + i, f"reach {t} here") for i, t in enumerate(["(743) 555-3824", "555-3824", "7435553824", f"+1 555 {digits(7)}"] * 2)] + [(310, "reach 98765-4321 here")]  # a second round
+    found = {(x.doc_id, s.start, s.end): s.kind for x in find_personal_data(docs(spark, rows), min_confidence=0.6, min_support=3).collect() for s in x.spans if s not in x.base}
+    texts = {i: t for i, t in rows}
+    assert {texts[i][a:b] for i, a, b in found if i in (200, 201, 202, 310)} == {"(743) 555-3824", "555-3824", "someone@localhost", "98765-4321"}
+    assert not {i for i, *_ in found} & {204, *range(40)}
+    want = plain_bootstrap([t for _, t in rows], min_confidence=0.6, min_support=3)
+    assert found == {(rows[k][0], a, b): kind for (k, a, b), kind in want.items()}
+
+
+def test_occurrences_take_linear_time():
+    for s in ("(" * 100_000 + "12345" + ")(" * 50_000, "1111,2222;" * 30_000, "x1234@" * 50_000, "12345 " * 50_000, "x" * 300_000 + "12345", RUN, "1234)" * 50_000, "tel1234" * 50_000):
+        occurrences(s, base_spans(s))
+
+
 def test_personal_edge_rows(spark):
     out = find_personal_data(docs(spark)).collect()
     assert sorted(str(x.doc_id) for x in out) == sorted(str(i) for i, _ in TEXTS)
