@@ -237,9 +237,10 @@ def with_next(docs: DataFrame, range_bytes: int = 16 << 20) -> DataFrame:
     order = W.orderBy(F.col("bucket").desc())
     tops = tops.withColumns({"first": F.max("bucket").over(W.partitionBy()), "last": F.min("bucket").over(W.partitionBy()), "before": F.lag("bucket").over(order), "after": F.lead("bucket").over(order)})
     tops = written(tops.select("bucket", "top", F.coalesce("before", "last").alias("before"), F.coalesce("after", "first").alias("after")), "simhash-ranges")
-    heads = F.broadcast(tops.select(F.col("bucket").alias("__b"), "top", "before"))  # MOST_RANGES rows at most
-    ghosts = own.join(heads, (F.col("bucket") == F.col("__b")) & (F.col("__key") == F.col("top"))).select("__id", "__text", "__key", F.col("before").alias("bucket"))
-    every = own.select("__id", "__text", "__key", "bucket", F.lit(0).alias("ghost")).unionByName(ghosts.withColumn("ghost", F.lit(1)))
+    bounds = F.broadcast(tops.withColumnRenamed("bucket", "__b"))  # MOST_RANGES rows at most
+    here, ghost = F.struct(F.col("bucket"), F.lit(0).alias("ghost")), F.struct(F.col("before").alias("bucket"), F.lit(1).alias("ghost"))
+    places = F.when(F.col("__key") == F.col("top"), F.array(here, ghost)).otherwise(F.array(here))
+    every = own.join(bounds, F.col("bucket") == F.col("__b"), "left").select("__id", "__text", "__key", F.inline(places))
     order = W.partitionBy("bucket").orderBy("ghost", F.col("__key").desc(), "__text")
     own = every.withColumns({"pos": F.row_number().over(order), "next_text": F.lead("__text").over(order), "next_ghost": F.lead("ghost").over(order)})
     over = F.col("next_ghost") == 1
