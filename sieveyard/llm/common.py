@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StructField, StructType
 
 from ..functions.text import let
 from ..sources.shared import arrow_batches, scratch, written
@@ -12,13 +13,18 @@ from ..sources.shared import arrow_batches, scratch, written
 SPACES = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
 
-__all__ = ["SPACES", "WORD", "arrow_batches", "ascii_lower", "let", "scratch", "spread_join", "table", "text_or_empty", "word_count", "words", "written"]
+__all__ = ["SPACES", "WORD", "arrow_batches", "ascii_lower", "let", "row_type", "scratch", "spread_join", "table", "text_or_empty", "word_count", "words", "written"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def row_type(**fields: str | DataType) -> StructType:
+    """A row's type from names and types; a column's own type is taken as it is, since fields inside it may have any name."""
+    return StructType([StructField(name, StructType.fromDDL(f"x {kind}")[0].dataType if isinstance(kind, str) else kind) for name, kind in fields.items()])
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 

@@ -13,6 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import row_type
 from .html_pages import labelled_page
 
 # What HTML itself fixes.
@@ -356,5 +357,5 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], names=["__id", "__url", "text"])
 
     own = pages.select(F.col(id_col).alias("__id"), F.col(url_col).cast("string").alias("__url"), F.col(html_col).cast("string").alias("__html"))
-    out = own.mapInArrow(run, f"__id {own.schema[0].dataType.simpleString()}, __url string, text string")
+    out = own.mapInArrow(run, row_type(__id=own.schema[0].dataType, __url="string", text="string"))
     return out.select(F.col("__id").alias(id_col), F.col("__url").alias(url_col), "text")

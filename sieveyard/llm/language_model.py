@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.shared import local_path, new_folder
-from .common import words
+from .common import row_type, words
 from .elias_fano import Sequence, encode, map_arrays, named, part, write_arrays
 
 #: Hashes that stand for the end and the begin of a text; no word hashes to them but by chance of 2 ** -64.
@@ -369,8 +369,8 @@ def score(docs: DataFrame, trie: Trie, id_col: str = "doc_id", text_col: str = "
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(sizes), pa.array(known), pa.array(base), pa.array(full)], names=[*batch.schema.names[1:], "n_tokens", "n_known", "base_score", "score"])
 
     own = docs.select(F.col(text_col).alias("__text"), F.col(id_col).alias("__id"), *[F.col(c).alias(f"__{i}") for i, c in enumerate(keep)])
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema.fields[1:])
-    out = own.mapInArrow(run, f"{kinds}, n_tokens long, n_known long, base_score double, score double")
+    kinds = {f.name: f.dataType for f in own.schema.fields[1:]}
+    out = own.mapInArrow(run, row_type(**kinds, n_tokens="long", n_known="long", base_score="double", score="double"))
     return out.select(F.col("__id").alias(id_col), *[F.col(f"__{i}").alias(c) for i, c in enumerate(keep)], "n_tokens", "n_known", "base_score", "score")
 
 

@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 
 from .common import text_or_empty, word_count, written
 
+#: Rows of one id and text that stay together on a line.
+PIECE_ROWS = 1024
+
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...], total_share: float, max_repeat: int) -> DataFrame:
     """(source, source_size, target) from (source, source_size): one row a source.
@@ -68,28 +71,35 @@ def mix(
     source's blocks to its shards (documents by seeded hash) on their sizes. In a shard, documents
     in seeded order lie on one line of words; the quota runs along it from the start, around again if
     it is longer than the line, and at most max_repeat times. Blocks are counted, never listed.
-    The number of shards follows the largest source, so that no line is much longer than shard_words.
+    A source has a shard for every shard_words of its words. Rows that repeat id and text are one item of
+    a line while they are few; many are dealt to shards by thousands.
 
     Null texts have no words; null sources are one source, in the last place. Repeated rows count each. An
     empty table gives an empty result. Other columns are ignored. Reruns agree: order and shard come from hashes.
     """
-    sizes = docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), word_count(text_or_empty(text_col)).alias("size"))
-    sizes = written(sizes, "mix-sizes")
-    largest = sizes.groupBy("source").agg(F.sum("size").alias("n")).agg(F.max("n")).first()[0] or 0
-    shards = max(1, -(-largest // shard_words))
-    sizes = sizes.withColumn("shard", F.pmod(F.xxhash64("id", "size", F.lit(seed)), F.lit(shards)).cast("int"))
-    cells = written(sizes.groupBy("source", "shard").agg(F.sum("size").alias("weight")), "mix-cells")
+    sizes = docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), F.xxhash64(text_col).alias("h"), word_count(text_or_empty(text_col)).alias("size"))
+    sizes = sizes.groupBy("id", "source", "h", "size").agg(F.count("*").alias("times"))
+    sizes = written(sizes.withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(times - 1) div {PIECE_ROWS}")))), "mix-sizes")
+    sizes = sizes.withColumn("times", F.least(F.lit(PIECE_ROWS), F.col("times") - F.col("piece") * PIECE_ROWS)).withColumn("width", F.col("size") * F.col("times"))
+    lines = sizes.groupBy("source").agg(F.greatest(F.ceil(F.sum("width") / shard_words), F.lit(1)).cast("int").alias("lines"))
+    # A source may hold most rows: its rows are dealt to parts, and its number of lines stands in each.
+    dealt = sizes.withColumn("part", F.pmod(F.xxhash64("id", "h"), F.lit(16)).cast("int"))
+    sizes = _joined(dealt, lines.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(15)))), ["source", "part"]).drop("part")
+    sizes = sizes.withColumn("shard", F.pmod(F.xxhash64("id", "h", "piece", F.lit(seed)), F.col("lines")).cast("int")).drop("lines")
+    cells = written(sizes.groupBy("source", "shard").agg(F.sum("width").alias("weight")), "mix-cells")
     targets = written(source_targets(cells.groupBy("source").agg(F.sum("weight").alias("source_size")), weights, total_share, max_repeat), "mix-targets")
     blocks = targets.select(F.lit(0).alias("all"), F.col("source"), F.col("target").alias("weight"), F.round(F.sum("target").over(W.partitionBy()) / block_words).cast("long").alias("total"))
     quotas = sainte_lague(blocks, ["all"], "source").select("source", F.col("seats").alias("total"))
     dealt = _joined(cells, _joined(targets, quotas, ["source"]), ["source"])
     dealt = written(sainte_lague(dealt, ["source"], "shard"), "mix-quotas")
     own = _joined(sizes, dealt, ["source", "shard"])
-    own = own.select("id", "source", "shard", "size", "source_size", "target", "weight", F.least(F.col("seats") * block_words, F.col("weight") * max_repeat).alias("quota"))
-    line = W.partitionBy("source", "shard").orderBy(F.xxhash64("id", F.lit(seed + 1)), "id", "size").rowsBetween(W.unboundedPreceding, W.currentRow)
-    own = own.withColumn("end", F.sum("size").over(line))
+    own = own.select("id", "h", "piece", "times", "source", "shard", "size", "width", "source_size", "target", "weight", F.least(F.col("seats") * block_words, F.col("weight") * max_repeat).alias("quota"))
+    line = W.partitionBy("source", "shard").orderBy(F.xxhash64("id", "h", "piece", F.lit(seed + 1)), "id", "h", "piece").rowsBetween(W.unboundedPreceding, W.currentRow)
+    own = own.withColumn("end", F.sum("width").over(line))
     rounds = F.coalesce(F.expr("try_divide(quota - quota % weight, weight)").cast("long"), F.lit(0))
     rest = F.col("quota") - rounds * F.col("weight")
-    again = F.greatest(F.lit(0), F.least(rest, "end") - (F.col("end") - F.col("size")))
-    taken = F.when(F.col("size") > 0, rounds * F.col("size") + again).otherwise(F.lit(0)).cast("long")
+    again = F.greatest(F.lit(0), F.least(rest, "end") - (F.col("end") - F.col("width")))
+    own = own.withColumns({"rounds": rounds, "again": again}).withColumn("k", F.explode(F.sequence(F.lit(1).cast("long"), "times")))
+    of_row = F.greatest(F.lit(0), F.least(F.col("size"), F.col("again") - (F.col("k") - 1) * F.col("size")))
+    taken = F.when(F.col("size") > 0, F.col("rounds") * F.col("size") + of_row).otherwise(F.lit(0)).cast("long")
     return own.select(F.col("id").alias(id_col), "size", "source_size", "target", taken.alias("taken"))

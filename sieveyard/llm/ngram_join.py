@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import block_components, shared_blocks
-from .common import arrow_batches, scratch, words, written
+from .common import arrow_batches, row_type, scratch, words, written
 
 _MULTIPLIERS = np.random.default_rng(5).integers(1, 2**63, 64, dtype=np.uint64) | np.uint64(1)
 _SLICES = 64
@@ -69,7 +69,7 @@ def _scan(docs: DataFrame, size: int, bits: int) -> DataFrame:
     from pyspark.sql.pandas.types import to_arrow_type
 
     id_type = to_arrow_type(docs.schema["__id"].dataType)
-    return docs.select("__id", "__text").mapInArrow(run, f"id {docs.schema['__id'].dataType.simpleString()}, n long, digest binary, slice int, counts binary")
+    return docs.select("__id", "__text").mapInArrow(run, row_type(id=docs.schema["__id"].dataType, n="long", digest="binary", slice="int", counts="binary"))
 
 
 def _merged(sketches: DataFrame, bits: int) -> np.ndarray:
@@ -133,8 +133,7 @@ def _nodes(docs: DataFrame, frequency: np.ndarray, size: int, bits: int, percent
                     lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum([len(x) for x in keys])]), pa.int32()), pa.array(np.concatenate(keys)))
                     yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), batch.column(0).take(pa.array(rows)), pa.array(np.array(hashes, np.uint64).view(np.int64)), pa.array(sizes, pa.int64()), lists], names=["digest", "id", "h", "n", "keys"])
 
-    kind = docs.schema["__id"].dataType.simpleString()
-    sets = docs.select("__id", "__text").mapInArrow(run, f"digest binary, id {kind}, h long, n long, keys array<bigint>")
+    sets = docs.select("__id", "__text").mapInArrow(run, row_type(digest="binary", id=docs.schema["__id"].dataType, h="long", n="long", keys="array<bigint>"))
     once = sets.groupBy("digest").agg(F.min_by(F.struct("id", "h", "n", "keys"), F.struct("id", "h")).alias("s")).select("digest", "s.*")
     return written(once.withColumn("node", F.monotonically_increasing_id()), "jaccard-nodes")
 

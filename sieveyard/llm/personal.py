@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_batches, scratch, spread_join, written
+from .common import arrow_batches, row_type, scratch, spread_join, written
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -178,8 +178,7 @@ def scan(docs: DataFrame, id_col: str, text_col: str, keep_text: bool) -> DataFr
                 yield pa.RecordBatch.from_arrays(cols, names=names)
 
     own = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
-    kind = own.schema[0].dataType.simpleString()
-    return own.mapInArrow(run, f"__id {kind}, __base {_SPAN}, __seen {_SEEN}" + ", __text string" * keep_text)
+    return own.mapInArrow(run, row_type(__id=own.schema[0].dataType, __base=_SPAN, __seen=_SEEN, **({"__text": "string"} if keep_text else {})))
 
 
 def bootstrap(seen: DataFrame, rounds: int, min_confidence: float, min_support: int) -> DataFrame:
@@ -268,6 +267,6 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **op
                     out.append(text)
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string())], names=["__rest", "__text"])
 
-    out = found.select("__rest", "__text", "spans").mapInArrow(run, f"__rest {own.schema['__rest'].dataType.simpleString()}, __text string")
+    out = found.select("__rest", "__text", "spans").mapInArrow(run, row_type(__rest=own.schema["__rest"].dataType, __text="string"))
     new = {text_col: F.col("__text"), "n_chars": F.length("__text").cast("long")}
     return out.select(*[new.get(c, F.col(f"__rest.`{c}`")).alias(c) for c in docs.columns])

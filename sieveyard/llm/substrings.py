@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import row_type, written
 
 #: Bytes that the rolling hash sees; a chunk is never shorter, so cuts depend on the chunk's own bytes alone.
 WINDOW = 16
@@ -97,7 +97,7 @@ def chunks(docs: DataFrame, id_col: str, text_col: str, min_bytes: int, mask_bit
                     yield pa.RecordBatch.from_arrays([batch.column(0).take(of), batch.column(1).take(of), *(pa.array(c, pa.int64()) for c in columns)], names=["row", "id", "start", "end", "d0", "d1"])
 
     own = docs.select(F.monotonically_increasing_id().alias("__row"), F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
-    return own.mapInArrow(run, f"row long, id {own.schema[1].dataType.simpleString()}, start long, end long, d0 long, d1 long")
+    return own.mapInArrow(run, row_type(row="long", id=own.schema[1].dataType, start="long", end="long", d0="long", d1="long"))
 
 
 def _repeated(own: DataFrame) -> DataFrame:

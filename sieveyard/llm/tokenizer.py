@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import row_type
+
 #: Characters after which a long text may be cut, and rows of an output batch.
 PIECE_CHARS, BATCH_ROWS = 1 << 16, 256
 
@@ -76,5 +78,4 @@ def encode_decode(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "
                 )
 
     own = docs.select(F.col(id_col), F.col(text_col).alias("__text"))
-    kind = own.schema[0].dataType.simpleString()
-    return own.mapInArrow(run, f"`{id_col}` {kind}, n_tokens long, ids binary, decoded binary")
+    return own.mapInArrow(run, row_type(**{id_col: own.schema[0].dataType}, n_tokens="long", ids="binary", decoded="binary"))

@@ -245,6 +245,27 @@ def test_stages(spark, tables):
     assert out.count() == mixed.count() and out.join(mixed.select(F.sha2("text", 256).alias("decoded_sha256")).distinct(), "decoded_sha256", "left_anti").count() == 0
 
 
+def test_texts_stay_whole_and_columns_their_own(spark, tables):
+    d = spark.read.parquet(f"{tables}/documents.parquet").withColumns({"kept": F.lit("mine"), "rule": F.lit(7), "stats": F.array(F.lit(1)), "base_failed": F.lit("no"), "a map": F.create_map(F.lit("k"), F.lit(1))})
+    d = d.withColumn("text", F.regexp_replace("text", "(\\w+) (\\w+) ", "$1\n  $2 ")).unionByName(d.filter("doc_id = 3")).unionByName(d.filter("doc_id = 3"))
+    last = d
+    for stage in (corpus_pipeline.quality_rules, corpus_pipeline.near_duplicates, corpus_pipeline.personal_data, corpus_pipeline.mix_sources):
+        out = stage(spark, last, tables)
+        assert out.dtypes == d.dtypes and {(x.kept, x.rule, tuple(x.stats), x.base_failed, x["a map"]["k"]) for x in out.collect()} == {("mine", 7, (1,), "no", 1)}
+        if stage is not corpus_pipeline.personal_data:
+            assert out.select("doc_id", "text", "n_chars").exceptAll(last.unionByName(last).select("doc_id", "text", "n_chars")).count() == 0
+        last = out
+
+
+def test_repeated_rows_share_what_the_mix_takes(spark, tables):
+    text = " ".join(f"w{i}" for i in range(50))
+    df = spark.createDataFrame([(1, text, "a")] * 3000 + [(2, text + " x", "a")] * 10 + [(None, f"{text} {i}", "a") for i in range(50)] + [(9, text, "b")] * 2500, "doc_id long, text string, source string")
+    copies = {(r.doc_id, r.text, r.source): r.n for r in corpus_pipeline.mix_sources(spark, df, tables).groupBy("doc_id", "text", "source").agg(F.count("*").alias("n")).collect()}
+    taken = {(r.doc_id, r.source_size): r.t for r in mix(df, shard_words=5000).groupBy("doc_id", "source_size").agg(F.sum("taken").alias("t")).collect()}
+    assert abs(50 * copies[9, text, "b"] - taken[9, 125_000]) < 100 and copies[1, text, "a"] > 3000
+    assert {k for k in taken} == {(1, 153_060), (2, 153_060), (None, 153_060), (9, 125_000)}
+
+
 def test_run(spark, tables):
     assert set(corpus_pipeline.run(spark, tables).columns) == {"doc_id", "n_tokens", "ids", "decoded_sha256"}
     assert [name for name, _ in corpus_pipeline.STAGES] == ["quality rules", "n-gram Jaccard join", "PII", "mixing sources", "byte-level BPE"]
