@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from sieveyard.llm.common import table, text_or_empty, written
+from sieveyard.llm.common import table, written
 from sieveyard.llm.mixing import mix
 from sieveyard.llm.ngram_join import jaccard_components
 from sieveyard.llm.personal import redact
@@ -15,56 +14,71 @@ from sieveyard.llm.tokenizer import encode_decode
 from sieveyard.sources.shared import ship_package
 
 
-def row_key() -> Column:
-    """Ids may be null or repeated in a stage's input, so a row is told by its id and its text's hash."""
-    return F.struct(F.col("doc_id"), F.xxhash64("text").alias("h"))
+def row_hash(docs: DataFrame) -> Column:
+    """A hash of all columns that can be hashed (maps cannot)."""
+    return F.xxhash64(*[F.col(f"`{name}`") for name, kind in docs.dtypes if "map<" not in kind])
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the base rules or the learned list reject go; all others stay as they are."""
-    return judge(docs, table(spark, sf_dir, "labels")).filter("kept").select(docs.columns)
+    """Documents that the base rules or the learned list reject go; all others stay as they are.
+
+    Null and empty texts have no words and go. Repeated rows stay or go alike. An empty table stays empty. Columns stay,
+    whatever their names. Labels of documents that are not in docs do not count.
+    """
+    own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__doc"), "doc_id", "text")
+    return judge(own, table(spark, sf_dir, "labels")).filter("kept").select("__doc.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group linked by 5-word shingles at 0.8 stays: the one of smallest id.
 
-    Rows that repeat id and text count as one document. Empty texts are linked with nothing.
+    Rows that repeat id and text count as one document, and the one with the least hash of all columns stays. A null id is the smallest. Null and
+    empty texts are linked with nothing, so they stay. An empty table stays empty. Columns stay, whatever their names.
     """
-    own = docs.withColumn("__row", row_key())
+    own = docs.withColumn("__row", F.struct(F.col("doc_id"), F.xxhash64("text").alias("h")))
     groups = written(jaccard_components(own, "__row"), "pipeline-groups")
     gone = groups.filter("not __row <=> component_id").select("__row").distinct()
     twice = groups.filter("__row <=> component_id").groupBy("__row").count().filter("count > 1").select("__row")
     both = gone.unionByName(twice)
     once = own.join(both, own["__row"].eqNullSafe(both["__row"]), "left_anti")
     again = own.join(twice, own["__row"].eqNullSafe(twice["__row"]), "left_semi")
-    again = again.withColumn("__n", F.row_number().over(W.partitionBy("__row").orderBy(F.xxhash64(*docs.columns)))).filter("__n = 1")
-    return once.select(docs.columns).unionByName(again.select(docs.columns))
+    least = again.groupBy("__row").agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in docs.columns]), row_hash(docs)).alias("__doc"))
+    return once.select(*[F.col(f"`{c}`") for c in docs.columns]).unionByName(least.select("__doc.*"))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every span of personal data becomes its kind in brackets; no document goes."""
+    """Every span of personal data becomes its kind in brackets, and n_chars is counted anew; no document goes.
+
+    Of overlapping spans, the first names all. Null texts stay null, texts without spans stay as they are, repeated rows
+    change alike, an empty table stays empty. Other columns stay, whatever their names.
+    """
     return redact(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it; where a shard's quota ends inside one, its first words that the quota still holds.
+    """Each document as often as the mix takes it, always whole.
 
-    A document whose words the mix leaves out goes, as do texts without words. Rows that repeat id
-    and text share what is taken from them.
+    The mix takes words: a document in which a quota ends comes once more with a chance of its share of words taken, drawn from a
+    hash of its row, so that sources meet their targets on the whole and reruns agree. A document that the mix leaves out goes, as do
+    null texts and those without words. Rows that are alike in all columns share what is taken from them, each copy whole.
+    Null sources are one source, the last. An empty table stays empty. Columns stay, whatever their names.
     """
-    own = docs.withColumn("__row", row_key())
-    taken = mix(own, "__row").groupBy("__row").agg((F.expr("sum(taken) div count(*)")).alias("__taken"), F.max("size").alias("__size"))
-    taken = taken.filter("__taken > 0").withColumnRenamed("__row", "__key")
-    rows = own.join(taken, F.col("__row").eqNullSafe(F.col("__key")))
-    rows = rows.withColumns({"__copies": F.expr("__taken div __size"), "__rest": F.col("__taken") % F.col("__size")})
-    rows = rows.withColumn("__k", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies") + F.when(F.col("__rest") > 0, 1).otherwise(0))))
-    part = F.array_join(F.slice(F.filter(F.split(text_or_empty(), r"[\x20\x09-\x0D]+"), lambda w: w != ""), F.lit(1), F.greatest(F.col("__rest"), F.lit(1)).cast("int")), " ")
-    rows = rows.withColumn("text", F.when(F.col("__k") <= F.col("__copies"), F.col("text")).otherwise(part))
-    return rows.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+    own = docs.withColumn("__row", F.struct(F.col("doc_id"), row_hash(docs).alias("h")))
+    taken = mix(own, "__row").groupBy("__row").agg(F.sum("taken").alias("__taken"), F.max("size").alias("__size")).filter("__taken > 0")
+    chance = F.pmod(F.xxhash64("__row", F.lit(23)), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    more = (chance * F.col("__size") < F.col("__taken") % F.col("__size")).cast("long")
+    copies = taken.select(F.col("__row").alias("__key"), (F.expr("__taken div __size") + more).alias("__copies")).filter("__copies > 0")
+    # Rows that are alike become one before anything is shuffled; so no key holds many rows.
+    alike = own.groupBy("__row").agg(F.first(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias("__doc"))
+    rows = alike.join(copies, F.col("__row").eqNullSafe(F.col("__key")))
+    return rows.select("__doc", F.explode(F.sequence(F.lit(1).cast("long"), "__copies"))).select("__doc.*")
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens, ids (little-endian unsigned 32-bit) and the decoded text's SHA-256, which equals the text's."""
+    """doc_id, n_tokens, ids (little-endian unsigned 32-bit) and the decoded text's SHA-256, which equals the text's.
+
+    Null and empty texts have no tokens. Repeated rows keep a row each. An empty table gives an empty result. Other columns are left out.
+    """
     import public_tokenizers
 
     out = encode_decode(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
