@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 # What Python's str.strip() removes, and the line ends of str.splitlines() beside \r\n (fixed by Python).
 PY_SPACE = "".join(map(chr, [*range(9, 14), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
-_SPACE_CLASS = r"\t-\r\x1c-\x20\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 _LINE_END = r"\r\n|[\n\x0b\x0c\r\x1c-\x1e\x85\x{2028}\x{2029}]"
 
 
@@ -21,9 +20,12 @@ def py_strip(text: Column) -> Column:
 
 
 def normalized_code(text: Column) -> Column:
-    """Stripped, one kind of line end, no white space at line ends. Every pattern is linear in the text."""
-    one_end = F.regexp_replace(py_strip(text), _LINE_END, "\n")
-    return F.regexp_replace(one_end, rf"(?<![{_SPACE_CLASS}&&[^\n]])[{_SPACE_CLASS}&&[^\n]]++(?=\n)", "")
+    """Stripped, one kind of line end, no white space at line ends. Linear in the text."""
+
+    def lines(stripped: Column) -> Column:
+        return F.array_join(F.transform(F.split(stripped, _LINE_END), lambda line: F.rtrim(line, F.lit(PY_SPACE))), "\n")
+
+    return let(py_strip(text), lines)
 
 
 def stable_hash(text: Column) -> Column:

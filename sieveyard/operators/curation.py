@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..sources.shared import written
+
 SPLITS = ("train", "validation", "test")
 
 
@@ -37,37 +39,68 @@ def seeded(seed: int, *key: Column) -> Column:
     return F.sha2(F.concat(F.lit(str(seed)), *key), 256)
 
 
-def _cut(rank: Column, total: Column, validation: float, test: float) -> Column:
-    """int(n * ratio) rows of test first, then of validation; the rest train. Doubles, truncated."""
-    n_test, n_validation = F.floor(total * F.lit(float(test))), F.floor(total * F.lit(float(validation)))
-    return F.when(rank <= n_test, "test").when(rank <= n_test + n_validation, "validation").otherwise("train")
+def _last_of(keys: DataFrame, sizes: list[tuple[str, int]], n: int) -> tuple[str, str] | None:
+    """(digest, key) of the n-th row of keys (__h, __key) in that order; None for n = 0. sizes: rows by the digest's first four digits, in order."""
+    if n < 1:
+        return None
+    for part, size in sizes:
+        if n <= size:
+            break
+        n -= size
+    ordered = F.row_number().over(W.orderBy("__h", "__key"))  # one part of at most 65,536
+    row = keys.filter(F.substring("__h", 1, 4) == part).withColumn("n", ordered).filter(F.col("n") == n).first()
+    return row["__h"], row["__key"]
+
+
+def _split_of(digest: Column, key: Column, keys: DataFrame, validation: float, test: float) -> Column:
+    """The split of a row by the place of its (digest, key) among keys (__h, __key, a row for each, written): an expression of two bounds.
+
+    int(n * ratio) keys are test, as many by their ratio validation, in that order; the rest train. Doubles, truncated. Only sizes by the
+    digest's first four digits (at most 65,536) and the two bounds go to the driver, and no row is moved.
+    """
+    sizes = [(r[0], r["count"]) for r in keys.groupBy(F.substring("__h", 1, 4).alias("part")).count().orderBy("part").collect()]
+    total = sum(n for _, n in sizes)
+    n_test, n_validation = int(total * float(test)), int(total * float(validation))
+    out, own = F.lit("train"), F.struct(digest.alias("h"), key.alias("k"))
+    for name, n in (("validation", n_test + n_validation), ("test", n_test)):
+        last = _last_of(keys, sizes, n)
+        if last:
+            out = F.when(own <= F.struct(F.lit(last[0]).alias("h"), F.lit(last[1]).alias("k")), name).otherwise(out)
+    return out
 
 
 def split_rows(rows: DataFrame, key: str, validation: float = 0.05, test: float = 0.05, seed: int = 42) -> DataFrame:
-    """Row-wise split by seeded order of a unique key. Rows of one content may part: see split_by_hash."""
-    ranked = global_rank(rows.withColumn("__h", seeded(seed, F.col(key).cast("string"))), "__h", [key])
-    return ranked.withColumn("split", _cut(F.col("rank"), F.col("total"), validation, test)).drop("__h", "rank", "total")
+    """Row-wise split by seeded order of a unique key. Rows of one content may part: see split_by_hash. One pass over the keys finds the bounds."""
+    name = F.col(key).cast("string")
+    keys = written(rows.select(seeded(seed, name).alias("__h"), name.alias("__key")), "split-keys")
+    return rows.withColumn("split", _split_of(seeded(seed, name), name, keys, validation, test))
+
+
+#: Most contents that the old order shuffles on the driver.
+MOST_OLD_KEYS = 1_000_000
 
 
 def split_by_hash(rows: DataFrame, hash_col: str, seq: str, validation: float = 0.05, test: float = 0.05, seed: int = 42, compat: str | None = None) -> DataFrame:
     """Split by content: all rows of one hash go to one split, cut by numbers of hashes.
 
-    A row without a hash is a group of its own, named by its seq. compat="mt" shuffles the sorted
-    hashes with Python's generator on the driver, for exact old memberships of small sets; the
+    A row without a hash is a group of its own, named by its seq. One pass over the hashes finds the bounds; rows are then
+    told apart by an expression and never moved. compat="mt" shuffles the sorted
+    hashes with Python's generator on the driver, for exact old memberships of small sets (MOST_OLD_KEYS, else it raises); the
     default order is SHA-256 of seed and hash, in parallel.
     """
-    named = rows.withColumn("__key", F.when(F.coalesce(F.col(hash_col), F.lit("")) != "", F.col(hash_col)).otherwise(F.concat(F.lit("missing-content-hash-"), F.col(seq).cast("string"))))
-    groups = named.select("__key").distinct()
+    key = F.when(F.coalesce(F.col(hash_col), F.lit("")) != "", F.col(hash_col)).otherwise(F.concat(F.lit("missing-content-hash-"), F.col(seq).cast("string")))
+    groups = rows.select(key.alias("__key")).distinct()
     if compat == "mt":
-        keys = sorted(r[0] for r in groups.collect())
+        keys = sorted(r[0] for r in groups.limit(MOST_OLD_KEYS + 1).collect())
+        if len(keys) > MOST_OLD_KEYS:
+            raise ValueError(f"compat='mt' shuffles on the driver and takes at most {MOST_OLD_KEYS} contents")
         random.Random(seed).shuffle(keys)
         n_test, n_validation = int(len(keys) * test), int(len(keys) * validation)
         parts = [(k, "test" if i < n_test else "validation" if i < n_test + n_validation else "train") for i, k in enumerate(keys)]
         table = rows.sparkSession.createDataFrame(parts, "__key string, split string")
-    else:
-        ranked = global_rank(groups.withColumn("__h", seeded(seed, F.col("__key"))), "__h", ["__key"])
-        table = ranked.select("__key", _cut(F.col("rank"), F.col("total"), validation, test).alias("split"))
-    return named.join(table, "__key").drop("__key")
+        return rows.withColumn("__key", key).join(table, "__key").drop("__key")
+    keys = written(groups.select(seeded(seed, F.col("__key")).alias("__h"), "__key"), "split-keys")
+    return rows.withColumn("split", _split_of(seeded(seed, key), key, keys, validation, test))
 
 
 def split_statistics(rows: DataFrame, hash_col: str, split_col: str = "split") -> DataFrame:
@@ -82,10 +115,15 @@ def leaking_hashes(rows: DataFrame, hash_col: str, by: str = "split") -> DataFra
     return found.filter("n > 1")
 
 
-def integrity_report(rows: DataFrame, hash_col: str, split_col: str = "split", by_hash: bool = True) -> DataFrame:
-    """One row: leakage_count, duplicate_hashes_across_splits, split_statistics, split_by_content_hash."""
-    leaks = leaking_hashes(rows, hash_col, split_col).agg(
-        F.count("*").alias("leakage_count"), F.map_from_entries(F.array_sort(F.collect_list(F.struct("content_hash", "places")))).alias("duplicate_hashes_across_splits")
+def integrity_report(rows: DataFrame, hash_col: str, split_col: str = "split", by_hash: bool = True, most: int = 10_000) -> DataFrame:
+    """One row: leakage_count, duplicate_hashes_across_splits (the first `most` by hash), split_statistics, split_by_content_hash.
+
+    leaking_hashes gives all of the leaks as a table, whatever their number.
+    """
+    found = written(leaking_hashes(rows, hash_col, split_col), "split-leaks")
+    first = found.orderBy("content_hash").limit(most)
+    leaks = found.agg(F.count("*").alias("leakage_count")).crossJoin(
+        first.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("content_hash", "places")))).alias("duplicate_hashes_across_splits"))
     )
     stats = split_statistics(rows, hash_col, split_col).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("split", F.struct("examples", "unique_hashes"))))).alias("split_statistics"))
     return leaks.crossJoin(stats).withColumn("split_by_content_hash", F.lit(by_hash))
@@ -102,6 +140,18 @@ def union_sources(parts: Sequence[tuple[str, str, DataFrame]]) -> DataFrame:
     return reduce(DataFrame.unionByName, tagged)
 
 
+def tag_parts(rows: DataFrame, source_col: str = "source", split_col: str = "split") -> DataFrame:
+    """rows of several sources that are in one table already, tagged as union_sources would: model_ready_source, and `part`, by split and then source (null last).
+
+    One pass: the sources, a row each, are numbered and joined back.
+    """
+    names = rows.select(F.col(source_col).alias("__s")).distinct()
+    numbered = names.select("__s", (F.row_number().over(W.orderBy(F.col("__s").asc_nulls_last())) - 1).alias("__k"), F.count("*").over(W.partitionBy()).alias("__n"))
+    place = F.array_position(F.array(*map(F.lit, SPLITS)), F.col(split_col)) - 1
+    out = rows.join(numbered, F.col(source_col).eqNullSafe(F.col("__s")))
+    return out.withColumns({"model_ready_source": F.col(source_col), "part": (place * F.col("__n") + F.col("__k")).cast("int")}).drop("__s", "__k", "__n")
+
+
 def head(rows: DataFrame, n: int, order: Sequence[str | Column]) -> DataFrame:
     """The first n rows by an explicit order (a top-k in each task, then one of n rows)."""
     return rows.orderBy(*order).limit(n)

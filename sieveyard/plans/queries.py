@@ -132,15 +132,14 @@ def model_ready_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def model_ready_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two sources, three splits, in order; every row tagged."""
-    split = split_by_hash(spark, sf_dir).join(_reasons(spark, sf_dir).select("doc_id", "source", "reason"), "doc_id")
-    parts = [(s, source, split.filter((F.col("split") == s) & (F.col("source") == source)).drop("split")) for s in C.SPLITS for source in ("src1", "src2")]
-    return C.union_sources(parts).filter("reason is null").select("doc_id", "split", "model_ready_source", "part")
+    """All sources, three splits, in order; every row that stays tagged."""
+    split = C.split_by_hash(_reasons(spark, sf_dir), "content_hash", "doc_id")
+    return C.tag_parts(split).filter("reason is null").select("doc_id", "split", "model_ready_source", "part")
 
 
 def train_small(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = split_by_hash(spark, sf_dir).join(_reasons(spark, sf_dir).filter("reason is null").select("doc_id"), "doc_id")
-    return C.head(rows.filter("split = 'train'"), 64, ["doc_id"]).select("doc_id", "content_hash")
+    rows = C.split_by_hash(_reasons(spark, sf_dir), "content_hash", "doc_id").filter("reason is null")
+    return C.head(rows.filter("split = 'train'"), 512, ["doc_id"]).select("doc_id", "content_hash")
 
 
 def sample_heads(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -199,7 +198,7 @@ def identifiers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def brand_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The three largest sizes of each brand as a phrase."""
-    sizes = table(spark, sf_dir, "part").select("p_brand", "p_size").distinct().filter("p_size % 7 = 0 or p_size > 47")
+    sizes = table(spark, sf_dir, "part").select("p_brand", "p_size").distinct()
     listed = F.transform(F.slice(F.sort_array(F.collect_list("p_size"), False), 1, 3), lambda s: s.cast("string"))
     return sizes.groupBy("p_brand").agg(readable_join(listed).alias("label"))
 

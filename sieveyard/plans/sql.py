@@ -42,10 +42,10 @@ ORACLE_SQL = {
     "cross_source_leakage": f"with {HASHED} select content_hash, count(distinct source) as sources, min(source) as first_source from hashed group by 1 having count(distinct source) > 1",
     "curation_split_report": f"with {SPLIT}, kept as (select min(doc_id) as doc_id, content_hash, lang, min(split) as split from split_rows group by content_hash, lang) select split, count(*) as examples, count(distinct content_hash) as unique_hashes from kept group by 1",
     "model_ready_reasons": f"with {HASHED}, {REASONS} select source, coalesce(reason, 'kept') as reason, count(*) as n from reasons group by 1, 2",
-    "model_ready_union": f"""with {SPLIT}, {REASONS} select s.doc_id, s.split, s.source as model_ready_source,
-        (2 * case s.split when 'train' then 0 when 'validation' then 1 else 2 end + case s.source when 'src1' then 0 else 1 end)::int as part
-        from split_rows s join reasons r using (doc_id) where r.reason is null and s.source in ('src1', 'src2')""",
-    "train_small": f"with {SPLIT}, {REASONS} select s.doc_id, s.content_hash from split_rows s join reasons r using (doc_id) where r.reason is null and s.split = 'train' order by s.doc_id limit 64",
+    "model_ready_union": f"""with {SPLIT}, {REASONS}, sources as (select source, row_number() over (order by source nulls last) - 1 as k, count(*) over () as n from (select distinct source from documents))
+        select s.doc_id, s.split, s.source as model_ready_source, (case s.split when 'train' then 0 when 'validation' then 1 else 2 end * u.n + u.k)::int as part
+        from split_rows s join reasons r using (doc_id) join sources u on u.source is not distinct from s.source where r.reason is null""",
+    "train_small": f"with {SPLIT}, {REASONS} select s.doc_id, s.content_hash from split_rows s join reasons r using (doc_id) where r.reason is null and s.split = 'train' order by s.doc_id limit 512",
     "sample_heads": f"with {SPLIT} (select doc_id, split from split_rows where split = 'train' order by doc_id limit 128) union all (select doc_id, split from split_rows where split = 'validation' order by doc_id limit 32)",
     "chat_examples": f"""with {FIRST} select conv_id, 'user' as role, "user" as content from firsts union all select conv_id, 'assistant', assistant from firsts""",
     "instruction_rows": f"""with {FIRST} select conv_id, "user" as instruction, '' as input, assistant as output from firsts""",
@@ -58,7 +58,7 @@ ORACLE_SQL = {
     "identifiers": r"""with names as (select distinct p_name as name from part union all select c_name from customer union all
         select * from (values ('SineWaveScene'), ('HTTPServer'), ('my_scene2D'), ('already words'), ('A'), ('')))
         select name, lower(trim(regexp_replace(regexp_replace(replace(name, '_', ' '), '([a-z0-9])([A-Z])', '\1 \2', 'g'), '\s+', ' ', 'g'))) as words from names""",
-    "brand_labels": """with s as (select distinct p_brand, p_size from part where p_size % 7 = 0 or p_size > 47), r as (select *, row_number() over (partition by p_brand order by p_size desc) as k from s),
+    "brand_labels": """with s as (select distinct p_brand, p_size from part), r as (select *, row_number() over (partition by p_brand order by p_size desc) as k from s),
         p as (select p_brand, max(p_size) filter (k = 1) as a, max(p_size) filter (k = 2) as b, max(p_size) filter (k = 3) as c from r group by 1)
         select p_brand, case when b is null then a::varchar when c is null then a || ' and ' || b else a || ', ' || b || ', and ' || c end as label from p""",
     "keyword_tags": f"with {TAGS} select doc_id, concat_ws(',', case when en then 'english' end, case when de then 'german' end, case when fr then 'french' end, case when li then 'licensed' end, case when ma then 'marked' end) as tags from tagged",
