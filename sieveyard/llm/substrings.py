@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import row_type, written
+from .common import arrow_batches, row_type, written
 
 #: Bytes that the rolling hash sees; a chunk is never shorter, so cuts depend on the chunk's own bytes alone.
 WINDOW = 16
@@ -69,46 +69,65 @@ HOT_SHARE, HOT_PARTS = 4096, 64
 _DIGEST = ["d0", "d1"]
 
 
-def chunks(docs: DataFrame, id_col: str, text_col: str, min_bytes: int, mask_bits: int, max_bytes: int) -> DataFrame:
+def _cut_up(texts: list[str | None], sizes: tuple[int, int, int]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(place in texts, starts, ends, digests as two long columns) of each text that has chunks; offsets in code points."""
+    for k, text in enumerate(texts):
+        data = (text or "").encode("utf-8", "surrogatepass")
+        own = cuts(data, *sizes)
+        if own:
+            digests = b"".join(blake2b(data[a:b], digest_size=16).digest() for a, b in zip([0, *own], own, strict=False))
+            ends = np.cumsum((np.frombuffer(data, np.uint8) & 0xC0) != 0x80)[np.array(own) - 1]
+            yield k, np.append(0, ends[:-1]), ends, np.frombuffer(digests, "<i8").reshape(-1, 2)
+
+
+def chunks(docs: DataFrame, id_col: str, text_col: str, *sizes: int) -> DataFrame:
     """(row, id, start, end, d0, d1): the chunks of every whole text, offsets in code points, the digest in two longs. No shuffle.
 
-    row numbers the rows of docs, so that null and repeated ids take part.
+    sizes are min_bytes, mask_bits and max_bytes. row numbers the rows of docs, so that null and repeated ids take part.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, 256):
                 batch = whole.slice(at, 256)
-                owner, starts, ends, digests = [], [], [], []
-                for k, text in enumerate(batch.column(2).to_pylist()):
-                    data = (text or "").encode("utf-8", "surrogatepass")
-                    own = cuts(data, min_bytes, mask_bits, max_bytes)
-                    if not own:
-                        continue
-                    digests += [blake2b(data[a:b], digest_size=16).digest() for a, b in zip([0, *own], own, strict=False)]
-                    points = np.cumsum((np.frombuffer(data, np.uint8) & 0xC0) != 0x80)[np.array(own) - 1]
-                    ends.append(points)
-                    starts.append(np.append(0, points[:-1]))
-                    owner.append(np.full(len(own), k))
-                if owner:
-                    of = pa.array(np.concatenate(owner))
-                    halves = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
-                    columns = [np.concatenate(starts), np.concatenate(ends), halves[:, 0].copy(), halves[:, 1].copy()]
+                own = list(_cut_up(batch.column(2).to_pylist(), sizes))
+                if own:
+                    of = pa.array(np.concatenate([np.full(len(starts), k) for k, starts, _, _ in own]))
+                    starts, ends, digests = (np.concatenate([x[i] for x in own]) for i in (1, 2, 3))
+                    columns = [starts, ends, digests[:, 0].copy(), digests[:, 1].copy()]
                     yield pa.RecordBatch.from_arrays([batch.column(0).take(of), batch.column(1).take(of), *(pa.array(c, pa.int64()) for c in columns)], names=["row", "id", "start", "end", "d0", "d1"])
 
     own = docs.select(F.monotonically_increasing_id().alias("__row"), F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
     return own.mapInArrow(run, row_type(row="long", id=own.schema[1].dataType, start="long", end="long", d0="long", d1="long"))
 
 
-def _repeated(own: DataFrame) -> DataFrame:
+def digest_counts(docs: DataFrame, text_col: str, *sizes: int) -> DataFrame:
+    """(d0, d1, places) of the digests that have several places.
+
+    Places are counted in each Arrow batch first, so a digest is shuffled once a batch, however common it is. (A
+    hash table of all of a task's digests beside the Python workers would not fit an executor.)
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = [x[3] for x in _cut_up(batch.column(0).to_pylist(), sizes)]
+            if own:
+                digests = np.concatenate(own)
+                digests = digests[np.lexsort((digests[:, 1], digests[:, 0]))]
+                first = np.flatnonzero(np.append(True, (digests[1:] != digests[:-1]).any(axis=1)))
+                places = np.diff(np.append(first, len(digests)))
+                yield pa.RecordBatch.from_arrays([pa.array(digests[first, 0]), pa.array(digests[first, 1]), pa.array(places, pa.int64())], names=["d0", "d1", "places"])
+
+    counted = docs.select(F.col(text_col).alias("__text")).mapInArrow(run, row_type(d0="long", d1="long", places="long"))
+    return counted.repartition(*_DIGEST).groupBy(*_DIGEST).agg(F.sum("places").alias("places")).filter("places > 1")
+
+
+def _repeated(own: DataFrame, counts: DataFrame) -> DataFrame:
     """Chunks whose digest has several places, with the first one: by id (null last), row and start.
 
-    Digests are counted in parts before they are shuffled, so a common one costs a row a task. The
-    chunks then meet the repeated digests in one shuffle, hot digests in HOT_PARTS parts; the first place is the least of
+    The chunks meet the repeated digests in one shuffle, hot digests in HOT_PARTS parts; the first place is the least of
     the parts' least.
     """
-    counts = own.groupBy(*_DIGEST).agg(F.count("*").alias("places")).filter("places > 1")
-    counts = written(counts, "substring-digests")
     top = counts.agg(F.sum("places")).first()[0] or 0
     hot = counts.filter(F.col("places") * HOT_SHARE > top).select(*_DIGEST, F.lit(True).alias("hot"))  # fewer than HOT_SHARE
     dealt = own.join(F.broadcast(hot), _DIGEST, "left")
@@ -145,8 +164,10 @@ def repeated_passages(
     part and are returned; a null id comes after all others when the first place is chosen. An empty table gives an empty result. Other
     columns are ignored, whatever their names.
     """
-    own = chunks(docs, id_col, text_col, min_bytes, mask_bits, max_bytes)
-    rows = _repeated(own)
+    sizes = (min_bytes, mask_bits, max_bytes)
+    with arrow_batches(docs.sparkSession):
+        counts = written(digest_counts(docs, text_col, *sizes), "substring-digests")
+    rows = _repeated(chunks(docs, id_col, text_col, *sizes), counts)
     is_first = (F.col("first.row") == F.col("row")) & (F.col("first.start") == F.col("start"))
     rows = rows.select("row", "id", "start", "end", F.struct(F.col("first.row").alias("row"), F.col("first.id").alias("id")).alias("first"), is_first.alias("is_first"))
     order = W.partitionBy("row").orderBy("start", "end")
