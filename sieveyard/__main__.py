@@ -17,13 +17,14 @@ from .sources.shared import ship_package
 
 def arguments() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="sieveyard")
-    top.add_argument("--verbose", action="store_true")
+    top.add_argument("--verbose", action="store_true", help="the same as --log-level DEBUG")
+    top.add_argument("--log-level", default="INFO", choices=("DEBUG", "INFO", "WARNING", "ERROR"))
     commands = top.add_subparsers(dest="command", required=True)
     e = commands.add_parser("extract", help="repositories to chat rows")
     e.add_argument("input_paths", nargs="+")
     e.add_argument("--output-dir", required=True)
     e.add_argument("--source-repo")
-    for name, kind in (("batch-size", int), ("validation-ratio", float), ("test-ratio", float), ("seed", int), ("min-quality-score", float), ("prompt-augmentation-count", int)):
+    for name, kind in (("max-workers", int), ("batch-size", int), ("validation-ratio", float), ("test-ratio", float), ("seed", int), ("min-quality-score", float), ("prompt-augmentation-count", int)):
         e.add_argument(f"--{name}", type=kind)
     e.add_argument("--row-wise-split", action="store_true", help="split rows, not contents")
     e.add_argument("--allow-leakage", action="store_true")
@@ -41,7 +42,7 @@ def arguments() -> argparse.ArgumentParser:
 
 
 def config(args: argparse.Namespace) -> ExtractConfig:
-    names = ("source_repo", "batch_size", "validation_ratio", "test_ratio", "seed", "min_quality_score", "prompt_augmentation_count")
+    names = ("source_repo", "max_workers", "batch_size", "validation_ratio", "test_ratio", "seed", "min_quality_score", "prompt_augmentation_count")
     given = {n: getattr(args, n) for n in names if getattr(args, n) is not None}
     return ExtractConfig(
         tuple(args.input_paths), args.output_dir, split_by_content_hash=not args.row_wise_split, enforce_split_integrity=not args.allow_leakage,
@@ -51,7 +52,7 @@ def config(args: argparse.Namespace) -> ExtractConfig:
 
 def main(argv: list[str] | None = None) -> None:
     args = arguments().parse_args(argv)
-    logging.basicConfig(level=logging.DEBUG if args.verbose else logging.INFO, format="%(levelname)s %(name)s: %(message)s")
+    logging.basicConfig(level=logging.DEBUG if args.verbose else args.log_level, format="%(levelname)s %(name)s: %(message)s")
     spark = SparkSession.builder.appName("sieveyard").getOrCreate()
     ship_package(spark)
     if args.command == "extract":

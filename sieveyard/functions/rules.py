@@ -11,15 +11,17 @@ from pyspark.sql import functions as F
 from .text import let, ordered_unique
 
 # The domain's names and words.
-OBJECTS = tuple(
-    """Angle Annulus Arrow Axes BarChart Brace Circle ComplexPlane DecimalNumber Dot Ellipse FunctionGraph Graph ImageMobject
-    Integer Line MathTex Matrix NumberLine NumberPlane ParametricFunction Paragraph Polygon Rectangle RegularPolygon Sector Sphere
-    Square Surface SurroundingRectangle Table Tex Text ThreeDAxes Triangle ValueTracker Vector VGroup""".split()
+OBJECTS = (
+    "Angle", "Annulus", "Arrow", "Axes", "BarChart", "Brace", "Circle", "ComplexPlane", "DecimalNumber", "Dot", "Ellipse", "FunctionGraph", "Graph",
+    "ImageMobject", "Integer", "Line", "MathTex", "Matrix", "NumberLine", "NumberPlane", "ParametricFunction", "Paragraph", "Polygon", "Rectangle",
+    "RegularPolygon", "Sector", "Sphere", "Square", "Surface", "SurroundingRectangle", "Table", "Tex", "Text", "ThreeDAxes", "Triangle",
+    "ValueTracker", "Vector", "VGroup",
 )
-ANIMATIONS = tuple(
-    """AddTextLetterByLetter ApplyMethod ApplyWave Circumscribe Create DrawBorderThenFill FadeIn FadeOut FadeTransform Flash
-    FocusOn GrowArrow GrowFromCenter Indicate LaggedStart MoveAlongPath ReplacementTransform Restore Rotate ShowCreation
-    ShowIncreasingSubsets ShowPassingFlash Transform TransformFromCopy Uncreate Unwrite UpdateFromAlphaFunc Wiggle Write""".split()
+ANIMATIONS = (
+    "AddTextLetterByLetter", "ApplyMethod", "ApplyWave", "Circumscribe", "Create", "DrawBorderThenFill", "FadeIn", "FadeOut", "FadeTransform",
+    "Flash", "FocusOn", "GrowArrow", "GrowFromCenter", "Indicate", "LaggedStart", "MoveAlongPath", "ReplacementTransform", "Restore", "Rotate",
+    "ShowCreation", "ShowIncreasingSubsets", "ShowPassingFlash", "Transform", "TransformFromCopy", "Uncreate", "Unwrite", "UpdateFromAlphaFunc",
+    "Wiggle", "Write",
 )
 IMPORT_MARKS = ("from manim import", "import manim")
 

@@ -17,8 +17,10 @@ from ..functions.rules import ANIMATIONS
 from ..functions.text import build_code, stable_hash
 
 # Base classes of scenes (any name that ends in Scene counts, too), and the import that stands in for none.
-SCENE_BASES = ("Scene ThreeDScene MovingCameraScene GraphScene LinearTransformationScene VectorScene ZoomedScene "
-               "SpecialThreeDScene InteractiveScene TeacherStudentsScene PiCreatureScene").split()
+SCENE_BASES = (
+    "Scene", "ThreeDScene", "MovingCameraScene", "GraphScene", "LinearTransformationScene", "VectorScene", "ZoomedScene",
+    "SpecialThreeDScene", "InteractiveScene", "TeacherStudentsScene", "PiCreatureScene",
+)
 STAND_IN_IMPORT, IMPORT_WORD = "from manim import *", "manim"
 
 _IMPORT_T = pa.struct([("module", pa.string()), ("names", pa.list_(pa.string())), ("alias", pa.string())])
@@ -198,19 +200,23 @@ def imports(parsed: DataFrame) -> DataFrame:
 def syntax_error(code: Column) -> Column:
     """The message of a syntax error, or null; without type comments, as a plain parse has it."""
 
-    @F.udf("string")
-    def check(text):
-        try:
-            with warnings.catch_warnings():
-                warnings.simplefilter("ignore")
-                ast.parse(text or "")
-        except SyntaxError as e:
-            return f"Syntax error: {e}"
-        return None
+    @F.arrow_udf("string")
+    def check(texts: pa.Array) -> pa.Array:
+        return pa.array([_message(t.as_py()) for t in texts], pa.string())
 
     return check(code)
 
 
+def _message(text: str | None) -> str | None:
+    try:
+        with warnings.catch_warnings():
+            warnings.simplefilter("ignore")
+            ast.parse(text or "")
+    except SyntaxError as e:
+        return f"Syntax error: {e}"
+    return None
+
+
 def register(spark: SparkSession) -> None:
     """Make extract_scenes(path, source) a table function for SQL: SELECT ... FROM files, LATERAL extract_scenes(path, source)."""
 

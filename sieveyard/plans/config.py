@@ -14,7 +14,7 @@ class ExtractConfig:
     input_paths: tuple[str, ...]
     output_dir: str
     source_repo: str | None = None
-    max_workers: int = 4
+    max_workers: int = 4  # tasks that read and parse files, at least, if there are so many files
     batch_size: int = 256
     validation_ratio: float = 0.05
     test_ratio: float = 0.05

@@ -15,8 +15,10 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 LOG = logging.getLogger(__name__)
 
 # Folders that no scan enters.
-IGNORED = (".git .hg .svn .mypy_cache .pytest_cache .ruff_cache __pycache__ .venv venv env .env node_modules "
-           "site-packages dist build vendor media partial_movie_files").split()
+IGNORED = (
+    ".git", ".hg", ".svn", ".mypy_cache", ".pytest_cache", ".ruff_cache", "__pycache__", ".venv", "venv", "env", ".env", "node_modules",
+    "site-packages", "dist", "build", "vendor", "media", "partial_movie_files",
+)
 
 
 @dataclass
@@ -86,10 +88,11 @@ class _Reader(DataSourceReader):
     def __init__(self, options: dict[str, str]) -> None:
         self.roots = [p for p in options.get("roots", options.get("path", "")).split("\n") if p]
         self.ignored = options["ignored"].split("\n") if "ignored" in options else IGNORED
-        self.size = int(options.get("batchsize", 256))
+        self.size, self.tasks = int(options.get("batchsize", 256)), int(options.get("tasks", 1))
 
     def partitions(self) -> Sequence[InputPartition]:
-        return [_Files(b) for b in batches(walk(self.roots, self.ignored).files, self.size)] or [_Files([])]
+        files = walk(self.roots, self.ignored).files
+        return [_Files(b) for b in batches(files, max(1, min(self.size, len(files) // self.tasks)))] or [_Files([])]
 
     def read(self, partition: _Files) -> Iterator[tuple[str, str]]:
         for path in partition.paths:
@@ -98,7 +101,7 @@ class _Reader(DataSourceReader):
 
 
 class CodeFiles(DataSource):
-    """format("pycode"): rows (path, source). Folders are walked once, on the driver; files are read by tasks of batchSize files."""
+    """format("pycode"): rows (path, source). Folders are walked once, on the driver; files are read by tasks of at most batchSize files, at least `tasks` of them if there are so many files."""
 
     @classmethod
     def name(cls) -> str:
@@ -111,10 +114,10 @@ class CodeFiles(DataSource):
         return _Reader({k.lower(): v for k, v in self.options.items()})
 
 
-def read_code(spark: SparkSession, roots: Sequence[str], ignored: Sequence[str] | None = None, batch_size: int = 256) -> DataFrame:
+def read_code(spark: SparkSession, roots: Sequence[str], ignored: Sequence[str] | None = None, batch_size: int = 256, tasks: int = 1) -> DataFrame:
     """(path, source) of every candidate file under roots that all nodes can read."""
     spark.dataSource.register(CodeFiles)
-    reader = spark.read.format("pycode").option("roots", "\n".join(roots)).option("batchSize", str(batch_size))
+    reader = spark.read.format("pycode").option("roots", "\n".join(roots)).option("batchSize", str(batch_size)).option("tasks", str(tasks))
     return (reader.option("ignored", "\n".join(ignored)) if ignored is not None else reader).load()
 
 

@@ -5,13 +5,16 @@ from __future__ import annotations
 import dataclasses
 import json
 import logging
+import re
+from collections.abc import Sequence
 from pathlib import Path
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from ..functions.chat import first_of, training_text
 
 LOG = logging.getLogger(__name__)
 
@@ -32,29 +35,70 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def read_files(spark: SparkSession, paths: Sequence[str | None]) -> DataFrame:
+    """(part, file, block, at, value): the lines of all paths, each a file or a folder of part files, read at once; part is the path's place in the list.
+
+    (part, file, block, at) is the order of the lines: files by name, blocks by their start. Spark deals files to tasks by size,
+    so the numbers of rows alone would not say it. None and missing paths have no lines.
+    """
+    known = {k: _qualified(spark, p) for k, p in enumerate(paths) if p and _exists(spark, p)}
+    for p in (p for k, p in enumerate(paths) if k not in known and p):
+        LOG.warning("no such file: %s", p)
+    if not known:
+        return spark.createDataFrame([], "part int, file string, block long, at long, value string")
+    lines = spark.read.text([re.sub(r"([\\{}\[\]*?])", r"\\\1", p) for p in dict.fromkeys(known.values())])  # names, not patterns
+    name = F.regexp_replace(F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))), "^file:///", "file:/")
+    lines = lines.select(name.alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"), "value")
+    fits = [F.when((F.col("file") == p) | F.col("file").startswith(p + "/"), F.lit(k)) for k, p in known.items()]
+    return lines.select(F.explode(F.array_compact(F.array(*fits))).alias("part"), "file", "block", "at", "value")
+
+
+def _qualified(spark: SparkSession, path: str) -> str:
+    """A path as file listings show it."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    own = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(p).toString()
+    return own.replace("file:///", "file:/", 1)
+
+
+def source_files(spark: SparkSession, folder: str, split: str) -> str | None:
+    """Where a processed source holds a split: <folder>/<split>.jsonl, or the split folder that extract() writes."""
+    for place in (f"{folder}/{split}.jsonl", f"{folder}/dataset/split={split}", f"{folder}/split={split}"):
+        if _exists(spark, place):
+            return place
+    return None
+
+
+def parse_lines(lines: DataFrame, schema: str = MODEL_READY) -> DataFrame:
+    """lines with the fields of `value`; blank and malformed ones are left out."""
+    row = F.from_json("value", f"{schema}, _bad string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
+    own = lines.filter(F.trim("value") != "").withColumn("row", row).filter("row is not null and row._bad is null")
+    return own.select(*lines.columns, "row.*").drop("_bad")
+
+
 def read_jsonl(spark: SparkSession, path: str, schema: str = MODEL_READY) -> DataFrame:
     """Rows of well-formed lines; blank and malformed ones are left out, a missing file is empty. Column `value` keeps the line."""
-    if not _exists(spark, path):
-        LOG.warning("no such file: %s", path)
-        return spark.createDataFrame([], T.StructType([T.StructField("value", T.StringType()), *T._parse_datatype_string(schema).fields]))
-    lines = spark.read.text(path).filter(F.trim("value") != "")
-    row = F.from_json("value", f"{schema}, _bad string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
-    return lines.withColumn("row", row).filter("row is not null and row._bad is null").select("value", "row.*").drop("_bad")
+    return parse_lines(read_files(spark, [path]).select("value"), schema)
 
 
 def read_lines(spark: SparkSession, path: str, max_rows: int | None = None) -> DataFrame:
-    """(line_no, value): every line, blank ones too, numbered in file order from 1; the first max_rows of them.
+    """(line_no, value): every line, blank ones too, numbered from 1 in the order of files by name and of lines in them; the first max_rows of them.
 
-    Tasks number their own lines; a table of one row for each task says how many come before.
+    A table of one row for each block of a file says how many lines come before it; a block's lines have successive numbers.
     """
-    lines = spark.read.text(path).withColumn("at", F.monotonically_increasing_id())
-    lines = lines.select("value", F.shiftright("at", 33).alias("task"), (F.col("at").bitwiseAND(F.lit((1 << 33) - 1)) + 1).alias("place"))
-    sizes = lines.groupBy("task").agg(F.max("place").alias("n"))
-    before = sizes.select("task", (F.sum("n").over(W.orderBy("task")) - F.col("n")).alias("before"))
-    numbered = lines.join(F.broadcast(before), "task").select((F.col("before") + F.col("place")).alias("line_no"), "value")
+    lines = read_files(spark, [path])
+    sizes = lines.groupBy("file", "block").agg(F.count("*").alias("n"), F.min("at").alias("first"))
+    before = sizes.select("file", "block", (F.sum("n").over(W.orderBy("file", "block")) - F.col("n") - F.col("first") + 1).alias("shift"))
+    numbered = lines.join(before, ["file", "block"]).select((F.col("at") + F.col("shift")).alias("line_no"), "value")
     return numbered if max_rows is None else numbered.filter(F.col("line_no") <= max_rows)
 
 
+def training_texts(spark: SparkSession, path: str, rows: int | None = None) -> DataFrame:
+    """(line_no, text) of the first rows of a file of training rows: read, head, text, as a trainer takes them."""
+    own = parse_lines(read_lines(spark, path), TRAINING)
+    taken = own if rows is None else own.orderBy("line_no").limit(rows)
+    return taken.select("line_no", training_text(first_of(F.col("messages"), "user"), first_of(F.col("messages"), "assistant")).alias("text"))
+
+
 def read_training(spark: SparkSession, train: str, validation: str, schema: str = TRAINING) -> dict[str, DataFrame]:
     return {"train": spark.read.schema(schema).json(train), "validation": spark.read.schema(schema).json(validation)}
 

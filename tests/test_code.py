@@ -8,10 +8,11 @@ from sieveyard.operators.code_units import imports, parse, parse_files, register
 from sieveyard.operators.maintenance import safety_reason
 from sieveyard.operators.metadata import usable, with_metadata, with_validation
 from sieveyard.plans.config import ExtractConfig
-from sieveyard.plans.extract import extract
+from sieveyard.plans.extract import extract, plan, statistics
 from sieveyard.plans.model_ready import build_model_ready
 from sieveyard.plans.queries import HELPERS, WAVES
 from sieveyard.sources.code_files import batches, candidates, decode, read_code, walk
+from sieveyard.sources.json_lines import read_lines
 
 SCENE = "class S(Scene):\n    def construct(self):\n        self.add({})\n"
 
@@ -174,3 +175,50 @@ def test_model_ready(spark, tmp_path):
     with pytest.raises(ValueError, match="leakage"):
         build_model_ready(spark, str(tmp_path / "in"), str(tmp_path / "out"), ["source-a"], 8)
     assert (tmp_path / "out/test").exists()
+
+
+def test_extract_feeds_model_ready(spark, tmp_path):
+    """The two plans chain: what extract() writes is a source of build_model_ready()."""
+    for name, text in (("a", WAVES), ("b", HELPERS)):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "m.py").write_text(text)
+        extract(spark, ExtractConfig((str(tmp_path / name),), str(tmp_path / "proc" / name), prompt_augmentation_count=2))
+    stats = build_model_ready(spark, str(tmp_path / "proc"), str(tmp_path / "out"), ["b", "a", "none"], 3)
+    rows = [json.loads(line) for f in sorted((tmp_path / "out").glob("*/part-*.txt")) if "small" not in str(f) for line in f.read_text().splitlines()]
+    assert stats["totalRows"] == 9 and stats["excluded"] == {"missing_symbols": 3, "missing_hash": 0} and stats["exportedRows"] == len(rows) == 6 and stats["splits"]["train"] == 6
+    assert {r["metadata"]["model_ready_source"] for r in rows} == {"a"} and list(rows[0]["metadata"])[-1] == "model_ready_source"
+    assert stats["trainSmallRows"] == 3 == sum(len(f.read_text().splitlines()) for f in (tmp_path / "out/train_small").glob("part-*"))
+
+
+@pytest.mark.parametrize("name", ["we$1rd", "back\\slash", "qu'o\"te", "sp ace+%20", "é漢"])
+def test_tag_by_structure(spark, tmp_path, name):
+    folder = tmp_path / "in" / name
+    folder.mkdir(parents=True)
+    meta = {"content_hash": "h", "metadata": {"inner": 1}, "extraction_diagnostics": {"missing_symbols": []}, "n": 1.50, "big": 2**70}
+    rows = [{"metadata": meta, "messages": [{"role": "user", "content": '"metadata": {$'}]}, {"messages": [], "metadata": {"model_ready_source": "old"} | meta}]
+    (folder / "train.jsonl").write_text("\n".join(json.dumps(r, ensure_ascii=False) for r in rows))
+    build_model_ready(spark, str(tmp_path / "in"), str(tmp_path / "out"), [name])
+    out = [line for f in sorted((tmp_path / "out/train").glob("part-*")) for line in f.read_text().splitlines()]
+    for row in rows:
+        row["metadata"]["model_ready_source"] = name
+    assert out == [json.dumps(r, ensure_ascii=False) for r in rows]
+
+
+def test_lines_are_numbered_by_name_not_size(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("one\n")
+    (tmp_path / "b.txt").write_text("".join(f"line {i}\n" for i in range(5000)))
+    (tmp_path / "c d+%.txt").write_text("\nlast")
+    got = [(r.line_no, r.value) for r in read_lines(spark, str(tmp_path)).orderBy("line_no").collect()]
+    assert got == list(enumerate(["one", *(f"line {i}" for i in range(5000)), "", "last"], 1))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "10000")
+    try:
+        assert [(r.line_no, r.value) for r in read_lines(spark, str(tmp_path)).orderBy("line_no").collect()] == got
+        assert read_lines(spark, str(tmp_path), 3).count() == 3
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_files_are_parsed_once(spark):
+    files = spark.createDataFrame([("w.py", WAVES), ("h.py", HELPERS)], "path string, source string")
+    text = statistics(spark, plan(files, ExtractConfig(("lib",), "out")))._jdf.queryExecution().executedPlan().toString()
+    assert "InArrow" not in text and "Python" not in text
