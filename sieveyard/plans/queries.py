@@ -9,16 +9,19 @@ from pyspark.sql import functions as F
 
 from ..functions import rules as R
 from ..functions.chat import pair, training_text
+from ..functions.prompts import prompts
 from ..functions.text import ordered_unique, readable_join, split_identifier, stable_hash
 from ..operators import curation as C
-from ..operators.chat_rows import check_rows, profile, to_instructions
-from ..operators.code_units import parse_files, reachable, scenes
+from ..operators.chat_rows import check_rows, profile, to_chat_examples, to_instructions
+from ..operators.code_units import imports, parse_files, reachable, scenes
 from ..operators.maintenance import safety_reason
 from ..operators.metadata import with_metadata, with_prompts, with_validation
 from ..sources.code_files import read_code
+from ..sources.json_lines import MESSAGES, read_files, read_jsonl, read_lines, write_rows
 from ..sources.shared import local_path, new_folder
 from .config import ExtractConfig
-from .extract import plan, statistics
+from .extract import extract, plan, statistics
+from .model_ready import build_model_ready
 
 #: Two scenes in one file, and one that needs a helper, a constant and a base class of its module.
 WAVES = '''from manim import *
@@ -53,6 +56,23 @@ class MainScene(HelperScene):
 '''
 BROKEN = "class Broken(Scene:\n    pass\n"
 
+#: One module for each habit of sources that resolution and validation must take.
+MODULES = {
+    "alias.py": "import numpy as np\nfrom math import pi as p, tau\nclass Alias(Scene):\n    def construct(self):\n        self.add(np.array([p, tau]), pi)\n",
+    "bom.py": "\ufeffx = 1\n",
+    "branch.py": "import manim\nif True:\n    K = 1\n    class Hidden(Scene): pass\nclass Seen(Scene):\n    def construct(self):\n        self.add(K)\n",
+    "decorated.py": "from manim import *\n@deco\nclass Deco(Scene):\n    def construct(self):\n        self.wait()\n",
+    "empty.py": "",
+    "error.py": "class Broken(Scene:\n    pass\n",
+    "future.py": "from __future__ import annotations\nfrom manimlib import *\nclass Future(MyScene[int]):\n    def construct(self):\n        self.play(Create(undefined))\n",
+    "late.py": "class Late(Scene):\n    async def construct(self):\n        pass\n",
+    "mutual.py": (
+        "import manim\nclass Outer(manim.Scene):\n    class Inner(Scene):\n        def construct(self): pass\n    def construct(self):\n        self.add(helper(1))\n"
+        "def helper(n):\n    return other(n)\ndef other(n):\n    return helper(n - STEP)\nSTEP = 1\n"
+    ),
+    "unpack.py": "import manim\na, (b, c) = 1, (2, 3)\nb += 1\nclass Unpack(manim.ThreeDScene):\n    def construct(self):\n        self.add(a, b, c)\n",
+}
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -289,13 +309,87 @@ def extract_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def jsonl_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as chat rows, written as JSON lines to the shared folder and read again."""
-    own = hashed(spark, sf_dir).join(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
-    meta = F.struct(F.col("content_hash"), F.col("doc_id"))
-    rows = own.select(pair(F.col("lang"), F.col("text")).alias("messages"), meta.alias("metadata"))
+    own = table(spark, sf_dir, "documents").select("doc_id", "lang", "text", stable_hash(F.col("text")).alias("content_hash"))
+    rows = own.select(pair(F.col("lang"), F.col("text")).alias("messages"), F.struct("content_hash", "doc_id").alias("metadata"))
     path = new_folder(spark, "jsonl")
-    rows.write.option("ignoreNullFields", False).json(path)
-    back = spark.read.schema("messages array<struct<role string, content string>>, metadata struct<content_hash string, doc_id long>").json(path)
-    return back.select("metadata.doc_id", F.element_at("messages", 2)["content"].alias("text"), (stable_hash(F.element_at("messages", 2)["content"]) == F.col("metadata.content_hash")).alias("same"))
+    write_rows(rows, path)
+    back = read_jsonl(spark, path, f"messages {MESSAGES}, metadata struct<content_hash string, doc_id long>")
+    text = F.element_at("messages", 2)["content"]
+    return back.select("metadata.doc_id", text.alias("text"), (stable_hash(text) == F.col("metadata.content_hash")).alias("same"))
+
+
+def jsonl_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations as lines, written and read: without an assistant's text the line is blank, without a user's it is broken, and both are left out."""
+    own = _lines(spark, sf_dir).join(_first_messages(spark, sf_dir).select("conv_id", "user", "assistant"), "conv_id")
+    row = F.to_json(F.struct(pair(F.col("user"), F.col("assistant")).alias("messages"), F.struct(F.col("conv_id").cast("string").alias("content_hash")).alias("metadata")))
+    path = new_folder(spark, "lines")
+    own.select(F.when(F.col("assistant").isNull(), " ").when(F.col("user").isNull(), "{broken").otherwise(row).alias("value")).write.text(path)
+    back = read_jsonl(spark, path)
+    return back.select(F.col("metadata.content_hash").cast("long").alias("conv_id"), F.element_at("messages", 2)["content"].alias("text"), F.col("metadata.category").alias("category"))
+
+
+def line_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as one line each, in order of their ids, over several files; numbered again from the files."""
+    path = new_folder(spark, "numbered")
+    table(spark, sf_dir, "documents").orderBy("doc_id").select(F.regexp_replace("text", r"[\r\n]+", " ").alias("value")).write.text(path)
+    return read_lines(spark, path).select("line_no", long(F.length("value"), "chars"))
+
+
+def prompt_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The primary prompt and two drawn templates for each part."""
+    parts = table(spark, sf_dir, "part")
+    kind = F.when(F.col("p_size") < 10, "graphs").when(F.col("p_size") < 20, "geometry").when(F.col("p_size") < 30, "text").otherwise("general")
+    drawn = prompts(kind, F.col("p_name"), F.col("p_partkey").cast("string"), 2, 42)
+    return parts.select("p_partkey", F.posexplode(drawn).alias("k", "prompt")).select("p_partkey", long(F.col("k"), "variant"), "prompt")
+
+
+def _modules(spark: SparkSession) -> DataFrame:
+    return parse_files(spark.createDataFrame(list(MODULES.items()), "path string, source string"))
+
+
+def module_units(spark: SparkSession, sf_dir: str) -> DataFrame:
+    listed = {"bases": "bases", "calls": "calls", "needs": "dependency_names", "missing": "missing_symbols"}
+    return scenes(_modules(spark)).select("source_path", "scene_name", "has_construct", "line_start", "line_end", *[F.array_join(c, ",").alias(name) for name, c in listed.items()])
+
+
+def module_imports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imports(_modules(spark)).select("path", "module", F.array_join("names", ",").alias("names"), "alias")
+
+
+def module_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Strict checks: status, errors and warnings."""
+    rows = with_validation(with_metadata(scenes(_modules(spark))), strict=True)
+    return rows.select("scene_name", "validation.status", F.array_join("validation.errors", " | ").alias("errors"), F.array_join("validation.warnings", " | ").alias("warnings"))
+
+
+def scene_chat_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole chat rows: messages, and the nested metadata's parts."""
+    m = "metadata"
+    names = {"objects": f"{m}.objects", "animations": f"{m}.animations", "included": f"{m}.extraction_diagnostics.included_dependency_symbols", "missing": f"{m}.extraction_diagnostics.missing_symbols"}
+    counts = [long(F.col(f"{m}.complexity.{k}"), k) for k in ("line_count", "object_count", "animation_count", "call_count")]
+    tree = F.array_join(F.transform(F.map_entries(f"{m}.extraction_diagnostics.dependency_tree"), lambda e: F.concat(e["key"], F.lit(">"), F.array_join(e["value"], "+"))), ",")
+    rows = to_chat_examples(_scenes(spark))
+    return rows.select(
+        f"{m}.scene_name", F.array_join(F.transform("messages", lambda x: x["role"]), ",").alias("roles"), F.element_at("messages", 1)["content"].alias("prompt"),
+        (stable_hash(F.element_at("messages", 2)["content"]) == F.col(f"{m}.content_hash")).alias("hash_of_code"), f"{m}.source_repo", *counts, f"{m}.complexity.has_construct", f"{m}.validation.status",
+        *[F.array_join(c, ",").alias(name) for name, c in names.items()], tree.alias("tree"),
+    )
+
+
+def model_ready_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two small repositories extracted, and what that wrote united to a model-ready set: its counters."""
+    root = local_path(new_folder(spark, "chain"))
+    for name, modules in (("one", {"waves.py": WAVES}), ("two", MODULES | {"helpers.py": HELPERS, "again.py": WAVES})):
+        folder = Path(root) / "repos" / name
+        folder.mkdir(parents=True)
+        for file, text in modules.items():
+            (folder / file).write_text(text, encoding="utf-8")
+        extract(spark, ExtractConfig((str(folder),), f"{root}/processed/{name}", source_repo=name))
+    stats = build_model_ready(spark, f"{root}/processed", f"{root}/set", ["one", "two", "absent"], 4)
+    lines = read_files(spark, [f"{root}/set/{split}" for split in C.SPLITS])
+    tags = lines.select(F.get_json_object("value", "$.metadata.model_ready_source").alias("source"))
+    out = tags.groupBy("source").agg(F.count("*").alias("rows"))
+    return out.withColumns({"total": F.lit(stats["totalRows"]).cast("long"), "missing_symbols": F.lit(stats["excluded"]["missing_symbols"]).cast("long"), "small": F.lit(stats["trainSmallRows"]).cast("long")})
 
 
 def repo_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -319,6 +413,6 @@ QUERIES = {
         curation_split_report, stable_hash_docs, dedup_keep_first, dedup_removed_count, split_by_hash, split_sizes, legacy_split, legacy_split_leakage, split_integrity, cross_source_leakage,
         model_ready_reasons, model_ready_union, train_small, sample_heads, chat_examples, instruction_rows, training_texts, bad_rows, training_profile, identifiers, brand_labels, keyword_tags,
         category_counts, difficulty_histogram, quality_scores, ordered_unique_roles, dependency_closure, missing_symbols, scene_extract, scene_metadata, scene_prompts, parse_report,
-        extract_statistics, jsonl_roundtrip, repo_scan, cleanup_safety,
+        extract_statistics, jsonl_roundtrip, repo_scan, cleanup_safety, jsonl_lines, line_numbers, prompt_variants, module_units, module_imports, module_validation, scene_chat_rows, model_ready_chain,
     )
 }

@@ -90,4 +90,28 @@ ORACLE_SQL = {
     "repo_scan": "select * from (values ('.hid/c.py', 6::bigint), ('_2018/b.py', 6::bigint), ('a.py', 6::bigint), ('sub/__init__.py', 6::bigint)) t(file, chars)",
     "cleanup_safety": """select * from (values ('/w/src/core', true, 'protected source/configuration path'), ('/x/out', true, 'outside workspace: /x/out'), ('/w/out', false, 'missing'), ('/w', true, 'empty target'),
         ('/w/out', true, null), ('/w/src/__pycache__', true, null)) t(path, there, reason)""",
+    "jsonl_lines": f"""with {FIRST} select conv_id, assistant as text, null::varchar as category from firsts where "user" is not null and assistant is not null""",
+    "line_numbers": r"select row_number() over (order by doc_id) as line_no, length(regexp_replace(text, '[\r\n]+', ' ', 'g')) as chars from documents",
+    "prompt_variants": """with templates(i, a, b) as (values (0, 'Create a Manim scene showing ', ''), (1, 'Write Manim code for ', ''), (2, 'Animate ', ''), (3, 'Build a concise Manim animation showing ', '')),
+        drawn as (select p_partkey, a || p_name || b as prompt, row_number() over (partition by p_partkey order by sha256('42|' || p_partkey::varchar || '|' || a || '{}' || b), i) as variant from part, templates),
+        firsts as (select p_partkey, case when p_size < 10 then 'Visualize ' when p_size < 20 then 'Create ' when p_size < 30 then 'Show ' else 'Create a Manim animation showing ' end || p_name as prompt from part)
+        select p_partkey, 0::bigint as variant, prompt from firsts union all select p_partkey, variant, prompt from drawn where variant <= 2""",
+    "module_units": """select * from (values
+        ('alias.py', 'Alias', true, 3, 5, 'Scene', 'add,array', '', 'Scene,p'), ('branch.py', 'Seen', true, 5, 7, 'Scene', 'add', '', 'K,Scene'), ('decorated.py', 'Deco', true, 3, 5, 'Scene', 'wait', '', ''),
+        ('future.py', 'Future', true, 3, 5, 'MyScene', 'play,Create', '', ''), ('late.py', 'Late', false, 1, 3, 'Scene', '', '', 'Scene'),
+        ('mutual.py', 'Outer', true, 2, 6, 'manim.Scene', 'add,helper', 'helper,other,STEP', 'Scene'), ('unpack.py', 'Unpack', true, 4, 6, 'manim.ThreeDScene', 'add', 'a,b,c', '')
+        ) t(source_path, scene_name, has_construct, line_start, line_end, bases, calls, needs, missing)""",
+    "module_imports": """select * from (values ('alias.py', 'numpy', 'numpy', 'np'), ('alias.py', 'math', 'pi,tau', null), ('branch.py', 'manim', 'manim', null), ('decorated.py', 'manim', '*', null),
+        ('future.py', '__future__', 'annotations', null), ('future.py', 'manimlib', '*', null), ('mutual.py', 'manim', 'manim', null), ('unpack.py', 'manim', 'manim', null)) t(path, module, names, alias)""",
+    "module_validation": """select * from (values
+        ('Alias', 'failed', 'Unresolved dependency symbols: Scene, p', ''), ('Seen', 'failed', 'Unresolved dependency symbols: K, Scene', ''), ('Deco', 'valid', '', ''),
+        ('Future', 'valid', '', 'No explicit Manim import found.'), ('Late', 'failed', 'Scene class has no construct() method. | Unresolved dependency symbols: Scene', ''),
+        ('Outer', 'failed', 'Unresolved dependency symbols: Scene', ''), ('Unpack', 'valid', '', '')) t(scene_name, status, errors, warnings)""",
+    "scene_chat_rows": """select *, 'user,assistant' as roles, true as hash_of_code, 'sample' as source_repo from (values
+        ('SineWaveScene', 'Visualize a graph with axes using Create', 6::bigint, 1::bigint, 1::bigint, 6::bigint, true, 'valid', 'Axes', 'Create', '', '', ''),
+        ('RotatingSquareScene', 'Create a square scene using Rotate', 4, 1, 1, 3, true, 'valid', 'Square', 'Rotate', '', '', ''),
+        ('HelperScene', 'Create a Manim animation showing illustrates helper scene', 2, 0, 0, 0, false, 'failed', '', '', '', '', ''),
+        ('MainScene', 'Create a Manim animation showing illustrates main scene', 3, 0, 0, 2, true, 'valid', '', '', 'HelperScene,make_label,SCALE', 'unknown_thing', 'HelperScene>,make_label>SCALE,SCALE>')
+        ) t(scene_name, prompt, line_count, object_count, animation_count, call_count, has_construct, status, objects, animations, included, missing, tree)""",
+    "model_ready_chain": "select * from (values ('one', 2::bigint, 11::bigint, 4::bigint, 4::bigint), ('two', 5, 11, 4, 4)) t(source, rows, total, missing_symbols, small)",
 }
