@@ -20,20 +20,22 @@ from .elias_fano import Sequence, encode, map_arrays, named, part, write_arrays
 
 #: Hashes that stand for the end and the begin of a text; no word hashes to them but by chance of 2 ** -64.
 END, BEGIN = np.uint64(0x9AE16A3B2F90404F), np.uint64(0xC3A5C85C97CB3127)
-#: Bits of the word in a child's number, sub-shards of one context, tokens worked on at once.
+#: Bits of its word's hash in a child's number: in one context, two words share a count with a chance of 2 ** -40.
+#: Sub-shards of one word's children, tokens worked on at once.
 CHILD_BITS, FAN, TOKENS_AT_ONCE = 40, 8, 1 << 20
 _CHILD_MASK = np.uint64((1 << CHILD_BITS) - 1)
 
 
 @dataclass(frozen=True)
 class Trie:
-    """Where a trained model lies, and what its levels share."""
+    """Where a trained model lies, and what its levels share. Level k holds the k-grams, level 1 the words."""
 
     folder: str
     shards: int
     tokens: int
     types: int
     discount: float
+    order: int = 2
 
     def unigram(self, counts: np.ndarray) -> np.ndarray:
         return (counts + 1) / (self.tokens + self.types + 1)
@@ -62,18 +64,32 @@ def _groups(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa
                 at, own, n = i + 1, [], 0
 
 
-def _before(tokens: list[np.ndarray]) -> np.ndarray:
-    """The token before each one; BEGIN before a text's first."""
-    out = np.concatenate([[BEGIN], *tokens]).astype(np.uint64)[:-1]
-    starts = np.cumsum([len(t) for t in tokens])[:-1]
-    out[starts] = BEGIN
+def _contexts(tokens: list[np.ndarray], order: int) -> list[np.ndarray]:
+    """For each token the hash of the 1, 2, ... order - 1 tokens before it; BEGIN stands before a text's first. One token's is its own."""
+    own = np.concatenate(tokens)
+    sizes = [len(t) for t in tokens]
+    place = np.arange(len(own)) - np.repeat(np.cumsum([0, *sizes[:-1]]), sizes)
+    out: list[np.ndarray] = []
+    for j in range(1, order):
+        last = np.full(len(own), BEGIN)
+        last[j:] = own[:-j]
+        last[place < j] = BEGIN
+        out.append(_mixed(out[-1], last) if out else last)
     return out
 
 
-def _child_shard(before: np.ndarray, own: np.ndarray, shards: int) -> np.ndarray:
-    """A context's children lie in up to FAN shards, so that a hot context is not one task's."""
+def _mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    x = (a ^ (a >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + b * np.uint64(0xC2B2AE3D27D4EB4F)
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return x ^ (x >> np.uint64(32))
+
+
+def _child_shard(context: np.ndarray, own: np.ndarray, shards: int, level: int) -> np.ndarray:
+    """A word's children lie in up to FAN shards, so that a hot word is not one task's; longer contexts stay whole."""
+    if level > 2:
+        return (context % np.uint64(shards)).astype(np.int64)
     fan = own >> np.uint64(53) & np.uint64(FAN - 1)
-    return ((before % np.uint64(shards) + fan * np.uint64(shards // FAN + 1)) % np.uint64(shards)).astype(np.int64)
+    return ((context % np.uint64(shards) + fan * np.uint64(shards // FAN + 1)) % np.uint64(shards)).astype(np.int64)
 
 
 def _by_shard(shard: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
@@ -110,25 +126,24 @@ def _count_words(shards: int) -> Callable:
     return run
 
 
-def _count_pairs(shards: int) -> Callable:
+def _count_children(shards: int, level: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, tokens in _groups(batches, 0):
-            before, own = _before(tokens), np.concatenate(tokens)
-            first, counts = _distinct_pairs(before, own)[:2]
-            before, own = before[first], own[first]
+            context, own = _contexts(tokens, level)[-1], np.concatenate(tokens)
+            first, counts = _distinct_pairs(context, own)[:2]
+            context, own = context[first], own[first]
             rows = []
-            for k, i in _by_shard(_child_shard(before, own, shards)):
-                i = i[np.argsort(before[i], kind="stable")]
-                keys, runs = np.unique(before[i], return_counts=True)
+            for k, i in _by_shard(_child_shard(context, own, shards, level)):
+                i = i[np.argsort(context[i], kind="stable")]
+                keys, runs = np.unique(context[i], return_counts=True)
                 rows.append(_row(k, keys, runs, own[i] & _CHILD_MASK, counts[i]))
             yield _batch(rows)
 
     return run
 
 
-def _distinct_pairs(before: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    mixed = (before ^ (before >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + own * np.uint64(0xC2B2AE3D27D4EB4F)
-    _, first, inverse, counts = np.unique(mixed, return_index=True, return_inverse=True, return_counts=True)
+def _distinct_pairs(context: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    _, first, inverse, counts = np.unique(_mixed(context, own), return_index=True, return_inverse=True, return_counts=True)
     return first, counts, inverse
 
 
@@ -215,25 +230,25 @@ class Words:
 
 
 class Children:
-    """Second level of a shard: contexts, and their children by number within their context, with quantised probabilities.
+    """A level of a shard from the second on: contexts, and their children by number within their context, with quantised probabilities.
 
     A child's number is its context's rank, then its own bits. The high part of the sequence codes the
     ranks: these are the monotone pointers from contexts to ranges. The low part is searched inside a range.
     """
 
-    def __init__(self, folder: str, shard: int) -> None:
-        path = f"{folder}/pairs-{shard}"
+    def __init__(self, folder: str, shard: int, level: int) -> None:
+        path = f"{folder}/children{level}-{shard}"
         self.empty = not os.path.exists(path)
         if not self.empty:
             self.arrays = map_arrays(path)
             self.contexts, self.children = Sequence(part("contexts", self.arrays)), Sequence(part("children", self.arrays))
 
-    def probability(self, before: np.ndarray, own: np.ndarray) -> np.ndarray:
-        """Discounted probability of each child after its context, 0 where the pair is unknown."""
-        out = np.zeros(len(own))
+    def probability(self, context: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Discounted probability of each child after its context, 0 where that pair is unknown, and the context's back-off weight, 1 where it is unknown (or kept with the words)."""
+        out, weight = np.zeros(len(own)), np.ones(len(own))
         if self.empty:
-            return out
-        contexts, of = np.unique(before, return_inverse=True)
+            return out, weight
+        contexts, of = np.unique(context, return_inverse=True)
         rank = self.contexts.find(contexts)
         first, end = np.zeros((2, len(contexts)), np.int64)
         known = np.flatnonzero(rank >= 0)
@@ -241,7 +256,10 @@ class Children:
         place = self.children.search(first[of], end[of], own & _CHILD_MASK)
         hit = np.flatnonzero(place >= 0)
         out[hit] = self.arrays["book"][self.arrays["codes"][place[hit]]]
-        return out
+        if "weight.book" in self.arrays:
+            seen = np.flatnonzero(rank[of] >= 0)
+            weight[seen] = self.arrays["weight.book"][self.arrays["weight.codes"][rank[of][seen]]]
+        return out, weight
 
 
 @lru_cache(maxsize=4096)
@@ -250,8 +268,8 @@ def _words(folder: str, shard: int, weighted: bool) -> Words:
 
 
 @lru_cache(maxsize=4096)
-def _children(folder: str, shard: int) -> Children:
-    return Children(folder, shard)
+def _children(folder: str, shard: int, level: int) -> Children:
+    return Children(folder, shard, level)
 
 
 def quantised(p: np.ndarray) -> dict[str, np.ndarray]:
@@ -276,15 +294,17 @@ def _lookup_words(folder: str, shards: int, keys: np.ndarray, weighted: bool) ->
     return counts, weights
 
 
-def train(docs: DataFrame, text_col: str = "text", discount: float = 0.75, shard_bytes: int = 8 << 20) -> Trie:
-    """Train a bigram trie on all rows of docs, in the shared folder.
+def train(docs: DataFrame, text_col: str = "text", discount: float = 0.75, shard_bytes: int = 8 << 20, order: int = 2) -> Trie:
+    """Train a trie of all n-grams up to `order` words on all rows of docs, in the shared folder.
 
-    Words and word pairs are counted in parts of each task, and shuffled as packed arrays to the
-    shard of their hash, where they are merged and laid out. Shards grow in number with the input,
-    so a shard's memory does not. Pairs of one context are dealt to several shards.
-    p(w | v) = max(c(v w) - discount, 0) / c(v) + discount * (types after v) / c(v) * p(w), and p(w) is
-    the add-one estimate. No n-gram is pruned. Lost tasks rewrite their own files.
+    N-grams are counted in parts of each task, a level at a time, and shuffled as packed arrays to the
+    shard of their context's hash, where they are merged and laid out. Shards grow in number with the input,
+    so a shard's memory does not. Pairs of one word are dealt to several shards.
+    p(w | h) = max(c(h w) - discount, 0) / c(h) + discount * (types after h) / c(h) * p(w | h without its first word), and p(w) is
+    the add-one estimate. A context never seen gives way to the shorter one. No n-gram is pruned. Lost tasks rewrite their own files.
     """
+    if order < 2:
+        raise ValueError("order must be 2 or more")
     spark = docs.sparkSession
     own = docs.select(F.col(text_col).alias("__text"))
     size = int(str(own._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
@@ -317,7 +337,7 @@ def train(docs: DataFrame, text_col: str = "text", discount: float = 0.75, shard
             p = (counts - discount) / np.repeat(np.maximum(context_counts, 1), width)
             bits = CHILD_BITS + max(len(contexts), 1).bit_length()
             levels = {**named("contexts", encode(contexts, 64)), **named("children", encode(rank << np.uint64(CHILD_BITS) | own_words, bits, CHILD_BITS))}
-            write_arrays(f"{folder}/pairs-{shard}", levels | quantised(p))
+            write_arrays(f"{folder}/children2-{shard}", levels | quantised(p))
             rows = [_row(k, contexts[i], None, None, width[i]) for k, i in _by_shard((contexts % np.uint64(shards)).astype(np.int64))]
             yield _batch(rows)
 
@@ -331,39 +351,59 @@ def train(docs: DataFrame, text_col: str = "text", discount: float = 0.75, shard
             write_arrays(f"{folder}/weights-{shard}", quantised(weight))
             yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32())], names=["shard"])
 
-    pair_rows = sorted_rows(own.mapInArrow(_count_pairs(shards), _ROW))
+    def build_level(level: int) -> Callable:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for shard, state in _shards(batches, _folding(_read_pairs)):
+                context, own_words, counts = _folded(state)
+                contexts, first, width = np.unique(context, return_index=True, return_counts=True)
+                total = np.add.reduceat(counts, first)
+                rank = np.repeat(np.arange(len(contexts), dtype=np.uint64), width)
+                bits = CHILD_BITS + max(len(contexts), 1).bit_length()
+                levels = {**named("contexts", encode(contexts, 64)), **named("children", encode(rank << np.uint64(CHILD_BITS) | own_words, bits, CHILD_BITS))}
+                write_arrays(f"{folder}/children{level}-{shard}", levels | quantised((counts - discount) / np.repeat(total, width)) | named("weight", quantised(discount * width / total)))
+                yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32())], names=["shard"])
+
+        return run
+
+    pair_rows = sorted_rows(own.mapInArrow(_count_children(shards, 2), _ROW))
     sorted_rows(pair_rows.mapInArrow(build_pairs, _ROW)).mapInArrow(build_weights, "shard int").count()
-    return Trie(folder, shards, int(total.tokens or 0), int(total.types or 0), discount)
+    for level in range(3, order + 1):
+        sorted_rows(own.mapInArrow(_count_children(shards, level), _ROW)).mapInArrow(build_level(level), "shard int").count()
+    return Trie(folder, shards, int(total.tokens or 0), int(total.types or 0), discount, order)
 
 
 def score(docs: DataFrame, trie: Trie, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """Score every whole text: id_col, the columns to keep, n_tokens, n_known, base_score, score.
 
     Scores are sums of log10 probabilities over the words, A-Z lower-cased, and one end. base_score takes
-    p(w) alone, score the trie's p(w | v). Each task looks its distinct words and pairs up in the mapped
+    p(w) alone, score the trie's p(w | h). Each task looks its distinct n-grams up in the mapped
     levels, by the Elias-Fano successor search. Null and empty texts are one end. Repeated rows are
     kept. Other columns are ignored, whatever their names.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, tokens in _groups(batches, 0):
-            own, before = np.concatenate(tokens), _before(tokens)
+            own, contexts = np.concatenate(tokens), _contexts(tokens, trie.order)
             doc = np.repeat(np.arange(len(tokens)), [len(t) for t in tokens])
             keys, at = np.unique(np.concatenate([own, [BEGIN]]), return_inverse=True)
             counts, weights = _lookup_words(trie.folder, trie.shards, keys, True)
             word_of = at[:-1]
             before_of = np.empty(len(own), np.int64)
             before_of[1:] = word_of[:-1]
-            before_of[before == BEGIN] = at[-1]
+            before_of[contexts[0] == BEGIN] = at[-1]
             unigram = trie.unigram(counts)
-            first, _, pair_of = _distinct_pairs(before, own)
-            pair = np.zeros(len(first))
-            for k, i in _by_shard(_child_shard(before[first], own[first], trie.shards)):
-                pair[i] = _children(trie.folder, k).probability(before[first[i]], own[first[i]])
-            p = pair + weights[before_of[first]] * unigram[word_of[first]]
+            p = unigram[word_of]
+            for level, context in enumerate(contexts, 2):  # each level looks its distinct n-grams up, and leaves the rest to the one below
+                first, _, gram_of = _distinct_pairs(context, own)
+                found, weight = np.zeros(len(first)), weights[before_of[first]] if level == 2 else np.ones(len(first))
+                for k, i in _by_shard(_child_shard(context[first], own[first], trie.shards, level)):
+                    found[i], own_weight = _children(trie.folder, k, level).probability(context[first[i]], own[first[i]])
+                    if level > 2:
+                        weight[i] = own_weight
+                p = (found + weight * p[first])[gram_of]
             n = len(tokens)
             base = np.bincount(doc, weights=np.log10(unigram)[word_of], minlength=n)
-            full = np.bincount(doc, weights=np.log10(p)[pair_of], minlength=n)
+            full = np.bincount(doc, weights=np.log10(p), minlength=n)
             known = np.bincount(doc, weights=counts[word_of] > 0, minlength=n).astype(np.int64)
             sizes = np.array([len(t) for t in tokens], np.int64)
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(sizes), pa.array(known), pa.array(base), pa.array(full)], names=[*batch.schema.names[1:], "n_tokens", "n_known", "base_score", "score"])
@@ -374,7 +414,7 @@ def score(docs: DataFrame, trie: Trie, id_col: str = "doc_id", text_col: str = "
     return out.select(F.col("__id").alias(id_col), *[F.col(f"__{i}").alias(c) for i, c in enumerate(keep)], "n_tokens", "n_known", "base_score", "score")
 
 
-def held_out_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 7, fold: int = 2) -> DataFrame:
+def held_out_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 7, fold: int = 2, order: int = 2) -> DataFrame:
     """Train on the documents whose crc32(id as text) mod folds is not fold, and score all.
 
     Returns id_col, held_out, n_tokens, n_known, train_tokens, base_score, score. Null ids are in no fold and
@@ -382,6 +422,6 @@ def held_out_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     own = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
     own = own.withColumn("held_out", F.coalesce(F.crc32(F.col("__id").cast("string")) % folds == fold, F.lit(False)))
-    trie = train(own.filter("not held_out"), "__text")
+    trie = train(own.filter("not held_out"), "__text", order=order)
     out = score(own, trie, "__id", "__text", ("held_out",))
     return out.select(F.col("__id").alias(id_col), "held_out", "n_tokens", "n_known", F.lit(trie.tokens).cast("long").alias("train_tokens"), "base_score", "score")

@@ -451,6 +451,37 @@ def test_scores_against_brute_force(spark):
     assert Counter((x.doc_id, x.held_out, x.n_tokens, x.n_known, x.train_tokens, round(x.base_score, 6)) for x in out) == want
 
 
+@pytest.mark.parametrize("order", [2, 3, 4])
+def test_scores_of_every_order_against_brute_force(spark, order):
+    r = random.Random(order)
+    vocabulary = [f"w{i}" for i in range(25)]
+    rows = [*TEXTS, *[(i, " ".join(r.choices(vocabulary, range(25, 0, -1), k=r.randrange(0, 60)))) for i in range(1000, 1200)]]
+    grams = defaultdict(Counter)  # context, a tuple of words: counts of the words after it
+    for i, t in rows:
+        if not held_out(i):
+            w = [0] * (order - 1) + [*words(t), None]
+            for at in range(order - 1, len(w)):
+                for n in range(order):
+                    grams[tuple(w[at - n : at])][w[at]] += 1
+    total, v = sum(grams[()].values()), len(grams[()])
+
+    def p(context, word):
+        if not context:
+            return (grams[()][word] + 1) / (total + v + 1)
+        own = grams.get(context)
+        lower = p(context[1:], word)
+        return (max(own[word] - 0.75, 0) + 0.75 * len(own) * lower) / sum(own.values()) if own else lower
+
+    want = {}
+    for i, t in rows:
+        w = [0] * (order - 1) + [*words(t), None]
+        want.setdefault(i, []).append(sum(math.log10(p(tuple(w[at - order + 1 : at]), w[at])) for at in range(order - 1, len(w))))
+    out = held_out_scores(docs(spark, rows), order=order).collect()
+    assert len(out) == len(rows)
+    for x in out:
+        assert min(abs(x.score - y) for y in want[x.doc_id]) <= 0.03 * x.n_tokens
+
+
 def test_scores_of_nothing(spark):
     assert held_out_scores(docs(spark, [])).collect() == []
     one = held_out_scores(docs(spark, [(next(i for i in range(50) if held_out(i)), "only held out")])).first()
