@@ -203,12 +203,11 @@ def node_features(page: Page) -> tuple[np.ndarray, np.ndarray]:
             for w in _WORDS.findall(name.lower()):
                 if w in _WORD_OF:
                     x[i, N_TAGS + _WORD_OF[w]] = 1
-    own, links, stops, runs = np.zeros(n), np.zeros(n), np.zeros(n), np.zeros(n)
+    own, links, stops = np.zeros(n), np.zeros(n), np.zeros(n)
     for i, text, linked in page.blocks:
         own[i] += len(text)
         links[i] += min(linked, len(text))
         stops[i] += text.count(". ") + (text[-1] in ".!?:")
-        runs[i] += 1
     all_text, all_links = own.copy(), links.copy()
     parents = np.array(page.parents)
     for i in range(n - 1, 0, -1):  # children stand after their parents

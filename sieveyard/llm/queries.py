@@ -21,10 +21,12 @@ from .url_filter import filter_urls
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with passages that repeat, across documents or inside one, and the spans to remove. Null and empty texts have no row."""
     return repeated_passages(table(spark, sf_dir, "documents"))
 
 
 def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and spans of personal data of every document; a null text is empty. Each input row has a row."""
     found = find_personal_data(table(spark, sf_dir, "documents"))
     names = F.array(*[F.lit(k) for k in KINDS])
 
@@ -39,36 +41,44 @@ def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A verdict on every page's url; a null url has an empty host and path and is allowed. Each input row has a row."""
     return filter_urls(table(spark, sf_dir, "pages"))
 
 
 def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents linked at a Jaccard likeness of 0.8 of their 5-word shingles. Each input row has a row."""
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
 def op5_lm_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of every whole text by a model of those outside fold 2 of 7; a null text is empty. Each input row has a row."""
     return held_out_scores(table(spark, sf_dir, "documents"))
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every text and of its edited text, likenesses, and near classes; a null text is empty. Each input row has a row."""
     return edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
 def op7_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page, empty if there is none or the page is null. Each input row has a row."""
     return extract_main_text(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text statistics, base rules and the learned list's verdict on every document; a null text has no words and fails. Each input row has a row."""
     out = judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     return out.select("doc_id", *[F.col(f"stats.{n}") for n in names], "base_failed", "kept", "rule")
 
 
 def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document; a null text has none. Each input row has a row."""
     return mix(table(spark, sf_dir, "documents"))
 
 
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every whole text and the digest of what they decode to; a null text has none. Each input row has a row."""
     import public_tokenizers
 
     out = encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
@@ -76,14 +86,19 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of corpus_pipeline.run()."""
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_substring_dedup, op2_personal_data, op3_url_templates, op4_ngram_jaccard, op5_lm_trie, op6_simhash, op7_main_text, op8_quality_rules, op9_source_mix, op10_byte_bpe, pipeline)
-}
+    f.__name__: f
+    for f in (
+        op1_substring_dedup, op2_personal_data, op3_url_templates, op4_ngram_jaccard, op5_lm_trie, op6_simhash,
+        op7_main_text, op8_quality_rules, op9_source_mix, op10_byte_bpe, pipeline,
+    )
+}
 
 ORACLE_SQL: dict[str, str] = {
     "op4_ngram_jaccard": r"""
