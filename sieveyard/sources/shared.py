@@ -10,7 +10,7 @@ import threading
 import uuid
 import zipfile
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import AbstractContextManager, contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -84,22 +84,32 @@ def scratch(spark: SparkSession) -> Iterator[None]:
 
 
 @contextmanager
-def arrow_batches(spark: SparkSession, size: str = "16m") -> Iterator[None]:
-    """Smaller Arrow batches for what runs inside: Python workers and the JVM hold a few of them each. The session's own size comes back afterwards."""
-    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+def _setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """A setting for what runs inside; the session's own comes back afterwards."""
     before = spark.conf.get(key, None)
-    spark.conf.set(key, size)
+    spark.conf.set(key, value)
     try:
         yield
     finally:
         spark.conf.set(key, before) if before is not None else spark.conf.unset(key)
 
 
+def arrow_batches(spark: SparkSession, size: str = "16m") -> AbstractContextManager[None]:
+    """Smaller Arrow batches for what runs inside: Python workers and the JVM hold a few of them each."""
+    return _setting(spark, "spark.sql.execution.arrow.maxBytesPerBatch", size)
+
+
+def released_shuffles(spark: SparkSession) -> AbstractContextManager[None]:
+    """Shuffle files of what runs inside go when it ends, not when the driver's memory is next cleaned; lost ones would be computed again."""
+    return _setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+
+
 def written(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Cut lineage: write df to the shared folder as Parquet and read it back. The files survive lost executors."""
     path = new_folder(df.sparkSession, name)
     levels = _SCRATCH.__dict__.get("levels", [])[: -1 if keep else None]
     if levels:
         levels[-1].append(path)
-    df.write.parquet(path)
+    with released_shuffles(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
