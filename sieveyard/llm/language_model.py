@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.shared import local_path, new_folder
+from ..sources.shared import local_path, new_folder, released_shuffles
 from .common import row_type, words
 from .elias_fano import Sequence, encode, map_arrays, named, part, write_arrays
 
@@ -294,7 +294,7 @@ def _lookup_words(folder: str, shards: int, keys: np.ndarray, weighted: bool) ->
     return counts, weights
 
 
-def train(docs: DataFrame, text_col: str = "text", discount: float = 0.75, shard_bytes: int = 8 << 20, order: int = 2) -> Trie:
+def train(docs: DataFrame, text_col: str = "text", discount: float = 0.75, shard_bytes: int = 8 << 20, order: int = 3) -> Trie:
     """Train a trie of all n-grams up to `order` words on all rows of docs, in the shared folder.
 
     N-grams are counted in parts of each task, a level at a time, and shuffled as packed arrays to the
@@ -326,7 +326,8 @@ def train(docs: DataFrame, text_col: str = "text", discount: float = 0.75, shard
             yield pa.RecordBatch.from_arrays([pa.array([int(counts[real].sum())], pa.int64()), pa.array([int(real.sum())], pa.int64())], names=["tokens", "types"])
 
     words_rows = sorted_rows(own.mapInArrow(_count_words(shards), _ROW))
-    total = words_rows.mapInArrow(build_words, "tokens long, types long").agg(F.sum("tokens").alias("tokens"), F.sum("types").alias("types")).first()
+    with released_shuffles(spark):
+        total = words_rows.mapInArrow(build_words, "tokens long, types long").agg(F.sum("tokens").alias("tokens"), F.sum("types").alias("types")).first()
 
     def build_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shard, state in _shards(batches, _folding(_read_pairs)):
@@ -366,9 +367,10 @@ def train(docs: DataFrame, text_col: str = "text", discount: float = 0.75, shard
         return run
 
     pair_rows = sorted_rows(own.mapInArrow(_count_children(shards, 2), _ROW))
-    sorted_rows(pair_rows.mapInArrow(build_pairs, _ROW)).mapInArrow(build_weights, "shard int").count()
-    for level in range(3, order + 1):
-        sorted_rows(own.mapInArrow(_count_children(shards, level), _ROW)).mapInArrow(build_level(level), "shard int").count()
+    with released_shuffles(spark):
+        sorted_rows(pair_rows.mapInArrow(build_pairs, _ROW)).mapInArrow(build_weights, "shard int").count()
+        for level in range(3, order + 1):
+            sorted_rows(own.mapInArrow(_count_children(shards, level), _ROW)).mapInArrow(build_level(level), "shard int").count()
     return Trie(folder, shards, int(total.tokens or 0), int(total.types or 0), discount, order)
 
 
@@ -414,7 +416,7 @@ def score(docs: DataFrame, trie: Trie, id_col: str = "doc_id", text_col: str = "
     return out.select(F.col("__id").alias(id_col), *[F.col(f"__{i}").alias(c) for i, c in enumerate(keep)], "n_tokens", "n_known", "base_score", "score")
 
 
-def held_out_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 7, fold: int = 2, order: int = 2) -> DataFrame:
+def held_out_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 7, fold: int = 2, order: int = 3) -> DataFrame:
     """Train on the documents whose crc32(id as text) mod folds is not fold, and score all.
 
     Returns id_col, held_out, n_tokens, n_known, train_tokens, base_score, score. Null ids are in no fold and

@@ -424,7 +424,7 @@ def test_scores_against_brute_force(spark):
     r = random.Random(11)
     vocabulary = [f"w{i}" for i in range(60)]
     rows = [*TEXTS, *[(i, " ".join(r.choices(vocabulary, range(60, 0, -1), k=r.randrange(0, 80)))) for i in range(1000, 1300)]]
-    out = held_out_scores(docs(spark, rows)).collect()
+    out = held_out_scores(docs(spark, rows), order=2).collect()
     assert len(out) == len(rows)
     unigrams, pairs = Counter(), Counter()
     for i, t in rows:
