@@ -67,10 +67,10 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     taken = mix(own, "__row").groupBy("__row").agg(F.sum("taken").alias("__taken"), F.max("size").alias("__size")).filter("__taken > 0")
     chance = F.pmod(F.xxhash64("__row", F.lit(23)), F.lit(1 << 30)) / F.lit(float(1 << 30))
     more = (chance * F.col("__size") < F.col("__taken") % F.col("__size")).cast("long")
-    copies = taken.select(F.col("__row").alias("__key"), (F.expr("__taken div __size") + more).alias("__copies")).filter("__copies > 0")
+    copies = taken.select("__row", (F.expr("__taken div __size") + more).alias("__copies")).filter("__copies > 0")
     # Rows that are alike become one before anything is shuffled; so no key holds many rows.
     alike = own.groupBy("__row").agg(F.first(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias("__doc"))
-    rows = alike.join(copies, F.col("__row").eqNullSafe(F.col("__key")))
+    rows = alike.join(copies, "__row")  # a struct is equal to its like, null fields included
     return rows.select("__doc", F.explode(F.sequence(F.lit(1).cast("long"), "__copies"))).select("__doc.*")
 
 
