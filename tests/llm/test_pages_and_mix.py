@@ -278,7 +278,7 @@ def test_repeated_rows_share_what_the_mix_takes(spark, tables):
     copies = {(r.doc_id, r.text, r.source): r.n for r in corpus_pipeline.mix_sources(spark, df, tables).groupBy("doc_id", "text", "source").agg(F.count("*").alias("n")).collect()}
     taken = {(r.doc_id, r.source_size): r.t for r in mix(df, shard_words=5000).groupBy("doc_id", "source_size").agg(F.sum("taken").alias("t")).collect()}
     assert abs(50 * copies[9, text, "b"] - taken[9, 125_000]) < 100 and copies[1, text, "a"] > 3000
-    assert abs(sum(n for (i, *_), n in copies.items() if i is None) * 51 - taken[None, 153_060]) < 500
+    assert 0.75 < sum(n for (i, *_), n in copies.items() if i is None) * 51 / taken[None, 153_060] < 1.25  # two draws of 50 rows
     assert {k for k in taken} == {(1, 153_060), (2, 153_060), (None, 153_060), (9, 125_000)}
 
 
