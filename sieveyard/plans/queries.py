@@ -18,6 +18,7 @@ from ..operators.maintenance import safety_reason
 from ..operators.metadata import with_metadata, with_prompts, with_validation
 from ..sources.code_files import read_code
 from ..sources.json_lines import MESSAGES, read_files, read_jsonl, read_lines, write_rows
+from ..sources.json_lines import training_texts as head_texts
 from ..sources.shared import local_path, new_folder
 from .config import ExtractConfig
 from .extract import extract, plan, statistics
@@ -206,7 +207,7 @@ def training_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(
         "rows_checked", "bad_rows", F.col("max_code_chars"), long(F.col("categories")["long"], "long_rows"), long(F.col("categories")["unknown"], "unknown_rows"),
         long(F.col("difficulties")["even"], "even_rows"), long(F.col("difficulties")["odd"], "odd_rows"),
-        (F.floor(F.col("avg_prompt_chars"))).cast("long").alias("prompt_chars"), (F.floor(F.col("avg_code_chars"))).cast("long").alias("code_chars"),
+        "avg_prompt_chars", "avg_code_chars",
     )
 
 
@@ -401,6 +402,23 @@ def repo_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_code(spark, [str(root)]).select(F.substring("path", F.lit(len(str(root)) + 2), F.lit(1000)).alias("file"), long(F.length("source"), "chars"))
 
 
+def source_decoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files in other encodings and with other line ends, as they are read."""
+    root = Path(local_path(new_folder(spark, "encodings")))
+    root.mkdir(parents=True)
+    for name, data in (("latin.py", b"s = '\xe9'\r\n"), ("crlf.py", b"a\r\nb\rc\n"), ("bom.py", b"\xef\xbb\xbfx\n"), ("utf.py", "é漢\n".encode())):
+        (root / name).write_bytes(data)
+    return read_code(spark, [str(root)]).select(F.substring("path", F.lit(len(str(root)) + 2), F.lit(1000)).alias("file"), "source")
+
+
+def training_head(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations written as training rows in order, and the text of the first 128, as a trainer takes them."""
+    rows = _first_messages(spark, sf_dir).orderBy("conv_id")
+    path = new_folder(spark, "training")
+    write_rows(rows.select(pair(F.col("user"), F.col("assistant")).alias("messages"), F.struct(F.col("conv_id").cast("string").alias("content_hash")).alias("metadata")), path)
+    return head_texts(spark, path, 128).select("line_no", "text")
+
+
 def cleanup_safety(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = [("/w", "/w/src/core", True, "src/core"), ("/w", "/x/out", True, "../x/out"), ("/w", "/w/out", False, "out"), ("/w", "/w", True, ""), ("/w", "/w/out", True, "out"), ("/w", "/w/src/__pycache__", True, "src/__pycache__")]
     df = spark.createDataFrame(rows, "root string, path string, there boolean, relative string")
@@ -413,6 +431,6 @@ QUERIES = {
         curation_split_report, stable_hash_docs, dedup_keep_first, dedup_removed_count, split_by_hash, split_sizes, legacy_split, legacy_split_leakage, split_integrity, cross_source_leakage,
         model_ready_reasons, model_ready_union, train_small, sample_heads, chat_examples, instruction_rows, training_texts, bad_rows, training_profile, identifiers, brand_labels, keyword_tags,
         category_counts, difficulty_histogram, quality_scores, ordered_unique_roles, dependency_closure, missing_symbols, scene_extract, scene_metadata, scene_prompts, parse_report,
-        extract_statistics, jsonl_roundtrip, repo_scan, cleanup_safety, jsonl_lines, line_numbers, prompt_variants, module_units, module_imports, module_validation, scene_chat_rows, model_ready_chain,
+        extract_statistics, jsonl_roundtrip, repo_scan, cleanup_safety, jsonl_lines, line_numbers, source_decoding, training_head, prompt_variants, module_units, module_imports, module_validation, scene_chat_rows, model_ready_chain,
     )
 }

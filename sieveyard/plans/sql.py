@@ -54,7 +54,7 @@ ORACLE_SQL = {
     "training_profile": f"""with {CHECKED} select count(*) as rows_checked, count(*) filter (bad) as bad_rows, coalesce(max(len(assistant)) filter (not bad), 0)::bigint as max_code_chars,
         nullif(count(*) filter (not bad and turns > 5), 0) as long_rows, nullif(count(*) filter (not bad and not turns > 5), 0) as unknown_rows,
         nullif(count(*) filter (not bad and conv_id % 2 = 0), 0) as even_rows, nullif(count(*) filter (not bad and conv_id % 2 = 1), 0) as odd_rows,
-        floor(coalesce(avg(len("user")) filter (not bad), 0))::bigint as prompt_chars, floor(coalesce(avg(len(assistant)) filter (not bad), 0))::bigint as code_chars from checked""",
+        coalesce(round(avg(len("user")) filter (not bad), 2), 0) as avg_prompt_chars, coalesce(round(avg(len(assistant)) filter (not bad), 2), 0) as avg_code_chars from checked""",
     "identifiers": r"""with names as (select distinct p_name as name from part union all select c_name from customer union all
         select * from (values ('SineWaveScene'), ('HTTPServer'), ('my_scene2D'), ('already words'), ('A'), ('')))
         select name, lower(trim(regexp_replace(regexp_replace(replace(name, '_', ' '), '([a-z0-9])([A-Z])', '\1 \2', 'g'), '\s+', ' ', 'g'))) as words from names""",
@@ -114,4 +114,7 @@ ORACLE_SQL = {
         ('MainScene', 'Create a Manim animation showing illustrates main scene', 3, 0, 0, 2, true, 'valid', '', '', 'HelperScene,make_label,SCALE', 'unknown_thing', 'HelperScene>,make_label>SCALE,SCALE>')
         ) t(scene_name, prompt, line_count, object_count, animation_count, call_count, has_construct, status, objects, animations, included, missing, tree)""",
     "model_ready_chain": "select * from (values ('one', 2::bigint, 11::bigint, 4::bigint, 4::bigint), ('two', 5, 11, 4, 4)) t(source, rows, total, missing_symbols, small)",
+    "source_decoding": """select * from (values ('latin.py', 's = ' || chr(39) || 'é' || chr(39) || chr(10)), ('crlf.py', 'a' || chr(10) || 'b' || chr(10) || 'c' || chr(10)), ('bom.py', chr(65279) || 'x' || chr(10)), ('utf.py', 'é漢' || chr(10))) t(file, source)""",
+    "training_head": f"""with {FIRST} select row_number() over (order by conv_id) as line_no, '### Instruction:' || chr(10) || "user" || chr(10) || chr(10) || '### Response:' || chr(10) || assistant as text
+        from firsts order by conv_id limit 128""",
 }
