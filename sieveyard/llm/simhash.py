@@ -91,30 +91,11 @@ def block_tables(prints: DataFrame, radius: int) -> DataFrame:
     return own.select(F.explode(keys).alias("key"), "node", "h0", "h1")
 
 
-#: Slots of the sketch of n-gram frequencies, a byte each, whatever the corpus; slots in a row of it on its way to the driver;
-#: bits of a frequency's size in an n-gram's key; bytes of input from which more than one in SKETCH_SHARE texts would overfill it.
-SKETCH_BITS, ROW_BITS, SIZE_BITS, SKETCH_SHARE, SKETCH_BYTES = 22, 12, 5, 32, 1 << 30
-
-
-def _slot(g: Column) -> Column:
-    return F.shiftrightunsigned(g, 64 - SKETCH_BITS).cast("int")
-
-
-def term_sketch(texts: DataFrame, size: int) -> bytes:
-    """For each slot the size of how many of one in SKETCH_SHARE texts (fewer if the input is large) hold an n-gram of it: "a" for none, a letter more for each power of two.
-
-    A fixed size, so it may stand in the plan; it only sets an order. Rows of slots are joined to strings before they go to the driver.
-    """
-    read = int(str(texts._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    share = SKETCH_SHARE * max(1, min(read, 1 << 60) // SKETCH_BYTES) if read < 1 << 60 else SKETCH_SHARE
+def common_terms(texts: DataFrame, size: int, share: int = 16, most: int = 16384) -> list[int]:
+    """Hashes of n-grams that many texts hold, by one text in `share`: at most `most` of them go to the driver."""
     some = texts.filter(F.pmod(F.col("h"), F.lit(share)) == 0)
-    slots = some.select(F.explode(F.transform(F.array_distinct(terms(F.col("t"), size)), _slot)).alias("slot")).groupBy("slot").agg(F.count("*").alias("n"))
-    every = texts.sparkSession.range(1 << SKETCH_BITS).select(F.col("id").cast("int").alias("slot"), F.lit(0).cast("long").alias("n"))
-    whole = slots.unionByName(every).groupBy("slot").agg(F.sum("n").alias("n"))
-    letter = F.char(F.lit(97) + F.when(F.col("n") > 0, F.least(F.lit(15), F.floor(F.log2("n")) + 1)).otherwise(0).cast("int"))
-    listed = whole.groupBy(F.shiftright("slot", ROW_BITS).alias("row")).agg(F.sort_array(F.collect_list(F.struct("slot", letter.alias("c")))).alias("all"))
-    rows = listed.select("row", F.array_join(F.col("all.c"), "").alias("text")).orderBy("row").collect()  # 2 ** (SKETCH_BITS - ROW_BITS) rows
-    return "".join(r.text for r in rows).encode()
+    counts = some.select(F.explode(F.array_distinct(terms(F.col("t"), size))).alias("g")).groupBy("g").count().filter("count > 3")
+    return [r.g for r in counts.orderBy(F.col("count").desc(), "g").limit(most).collect()]
 
 
 def like_texts(texts: DataFrame, percent: int = 80, size: int = 5, rounds: int = 2) -> DataFrame:
@@ -123,15 +104,16 @@ def like_texts(texts: DataFrame, percent: int = 80, size: int = 5, rounds: int =
     texts: t, and h, its XXH64, by which copies are one. Bits cannot find these: at a likeness of 0.8 two fingerprints
     lie 20 to 26 bits apart, and tables that find all pairs so far apart have keys of 9 bits. So a block is an n-gram, and a text
     stands in those of its first n - ceil(percent * n / 100) + 1 n-grams under one order for all: of two linked
-    texts, both then have one of them in common. The order is that of a sketch of frequencies, the rarest first, and of 59 bits of the n-grams' hashes; the
-    sketch's errors change the time, never the links. A pair must share as many keys as its sizes ask before its overlap
+    texts, both then have one of them in common. Common n-grams come last in the order; which ones are known to be
+    changes the time, never the links. A pair must share as many keys as its sizes ask before its overlap
     is counted on whole sets.
     """
-    sketch = F.lit(term_sketch(texts, size))
+    common = common_terms(texts, size)
 
     def key(g: Column) -> Column:
-        common = F.ascii(F.substring(sketch, _slot(g) + 1, F.lit(1)).cast("string")) - 97
-        return F.shiftleft(common.cast("long"), 64 - SIZE_BITS).bitwiseOR(F.shiftrightunsigned(g, SIZE_BITS))
+        """62 bits of the hash, and one above them that sets common n-grams last."""
+        own = F.shiftrightunsigned(g, 2)
+        return F.when(g.isin(common), own.bitwiseOR(F.lit(1 << 62))).otherwise(own) if common else own
 
     def first(own: Column) -> Column:
         n = F.size(own)
