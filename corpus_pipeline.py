@@ -63,7 +63,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     null texts and those without words. Rows that are alike in all columns share what is taken from them, each copy whole.
     Null sources are one source, the last. An empty table stays empty. Columns stay, whatever their names.
     """
-    own = docs.withColumn("__row", F.struct(F.col("doc_id"), row_hash(docs).alias("h")))
+    # Written tables take all fields as nullable; a key of the same type needs no cast, which would move the texts twice.
+    own = docs.withColumn("__row", F.struct(F.col("doc_id"), F.nullif(row_hash(docs), F.lit(None).cast("long")).alias("h")))
     taken = mix(own, "__row").groupBy("__row").agg(F.sum("taken").alias("__taken"), F.max("size").alias("__size")).filter("__taken > 0")
     chance = F.pmod(F.xxhash64("__row", F.lit(23)), F.lit(1 << 30)) / F.lit(float(1 << 30))
     more = (chance * F.col("__size") < F.col("__taken") % F.col("__size")).cast("long")
