@@ -19,7 +19,7 @@ from ..operators.metadata import with_metadata, with_prompts, with_validation
 from ..sources.code_files import read_code
 from ..sources.json_lines import MESSAGES, read_files, read_jsonl, read_lines, write_rows
 from ..sources.json_lines import training_texts as head_texts
-from ..sources.shared import local_path, new_folder
+from ..sources.shared import local_path, new_folder, written
 from .config import ExtractConfig
 from .extract import extract, plan, statistics
 from .model_ready import build_model_ready
@@ -84,6 +84,11 @@ def hashed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", "lang", "source", stable_hash(F.col("text")).alias("content_hash"))
 
 
+def hashed_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """hashed() written down: what reads it more than once does not hash the texts again."""
+    return written(hashed(spark, sf_dir), "hashed")
+
+
 def code(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([("lib/waves.py", WAVES), ("lib/helpers.py", HELPERS), ("lib/broken.py", BROKEN)], "path string, source string")
 
@@ -106,7 +111,7 @@ def dedup_removed_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def split_by_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return C.split_by_hash(hashed(spark, sf_dir), "content_hash", "doc_id").select("doc_id", "content_hash", "split")
+    return C.split_by_hash(hashed_once(spark, sf_dir), "content_hash", "doc_id").select("doc_id", "content_hash", "split")
 
 
 def split_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -118,7 +123,7 @@ def legacy_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def legacy_split_leakage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = C.split_rows(hashed(spark, sf_dir), "doc_id")
+    rows = C.split_rows(hashed_once(spark, sf_dir), "doc_id")
     return C.leaking_hashes(rows, "content_hash").select("content_hash", "n", F.array_join("places", ",").alias("places"))
 
 
@@ -134,7 +139,7 @@ def cross_source_leakage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def curation_split_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = C.keep_first(hashed(spark, sf_dir), ["content_hash", "lang"], ["doc_id"])
+    kept = written(C.keep_first(hashed(spark, sf_dir), ["content_hash", "lang"], ["doc_id"]), "kept")
     rows = C.split_by_hash(kept, "content_hash", "doc_id")
     return C.split_statistics(rows, "content_hash")
 
@@ -154,12 +159,12 @@ def model_ready_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def model_ready_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All sources, three splits, in order; every row that stays tagged."""
-    split = C.split_by_hash(_reasons(spark, sf_dir), "content_hash", "doc_id")
+    split = C.split_by_hash(written(_reasons(spark, sf_dir), "reasons"), "content_hash", "doc_id")
     return C.tag_parts(split).filter("reason is null").select("doc_id", "split", "model_ready_source", "part")
 
 
 def train_small(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = C.split_by_hash(_reasons(spark, sf_dir), "content_hash", "doc_id").filter("reason is null")
+    rows = C.split_by_hash(written(_reasons(spark, sf_dir), "reasons"), "content_hash", "doc_id").filter("reason is null")
     return C.head(rows.filter("split = 'train'"), 512, ["doc_id"]).select("doc_id", "content_hash")
 
 
