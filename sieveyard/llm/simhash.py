@@ -132,15 +132,19 @@ def like_texts(texts: DataFrame, percent: int = 80, size: int = 5, rounds: int =
         most = F.least(n - pos_of(a("at")), m - pos_of(b("at")))
         return (F.lit(100 + percent) * most >= F.lit(percent) * (n + m)) & (F.lit(100) * F.least(n, m) >= F.lit(percent) * F.greatest(n, m))
 
+    def enough(keys: Column, n: Column, m: Column) -> Column:
+        """As many common keys as a link needs: what two sets share beyond the end of the prefix that ends first lies
+        in that set's rest, of ceil(percent * n / 100) - 1 n-grams; all else are common keys."""
+        most = keys + F.ceil(F.greatest(n, m) * percent / F.lit(100)) - 1
+        return F.lit(100 + percent) * most >= F.lit(percent) * (n + m)
+
     def enough_keys(pairs: DataFrame) -> DataFrame:
-        """Pairs that share as many keys as a link needs: what two sets share beyond the end of the prefix that ends first lies
-        in that set's rest, of ceil(percent * n / 100) - 1 n-grams; all else are common keys. Rows are spread by b, so a text with many partners is not one task's."""
+        """Pairs with enough common keys. Rows are spread by b, so a text with many partners is not one task's."""
         of_a = blocks.select(F.col("node").alias("a"), "key", F.col("at").alias("at_a"), F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))).alias("part"))
         each = pairs.withColumn("part", F.pmod(F.xxhash64("b"), F.lit(SPREAD)).cast("int")).join(of_a, ["a", "part"])
         each = each.join(blocks.select(F.col("node").alias("b"), "key", F.col("at").alias("at_b")), ["b", "key"])
         counted = each.groupBy("a", "b").agg(F.count("*").alias("c"), n_of(F.max("at_a")).alias("n"), n_of(F.max("at_b")).alias("m"))
-        most = F.col("c") + F.ceil(F.greatest("n", "m") * percent / F.lit(100)) - 1
-        return counted.filter(F.lit(100 + percent) * most >= F.lit(percent) * (F.col("n") + F.col("m"))).select("a", "b")
+        return counted.filter(enough(F.col("c"), F.col("n"), F.col("m"))).select("a", "b")
 
     def overlaps(pairs: DataFrame) -> DataFrame:
         pairs = written(enough_keys(pairs), "simhash-candidates")
@@ -152,7 +156,7 @@ def like_texts(texts: DataFrame, percent: int = 80, size: int = 5, rounds: int =
         counted = joined.select("a", "b", let(F.struct(own.alias("x"), other.alias("y")), lambda s: F.struct(F.size(F.array_intersect(s["x"], s["y"])).alias("both"), (F.size(s["x"]) + F.size(s["y"])).alias("sum"))).alias("c"))
         return counted.filter(F.lit(100) * F.col("c.both") >= F.lit(percent) * (F.col("c.sum") - F.col("c.both")))
 
-    return block_components(blocks, ["at"], bound, overlaps, rounds, (pos_of(F.col("at")),)).select(F.col("node").alias("h"), "comp")
+    return block_components(blocks, ["at"], bound, overlaps, rounds, (pos_of(F.col("at")),), lambda x: n_of(x("at")), enough).select(F.col("node").alias("h"), "comp")
 
 
 def near_components(prints: DataFrame, radius: int = 4, rounds: int = 2, groups: DataFrame | None = None) -> DataFrame:
