@@ -19,7 +19,7 @@ def shared_blocks(index: DataFrame) -> DataFrame:
 
 def block_components(
     index: DataFrame, payload: list[str], fits: Callable[[Callable[[str], Column], Callable[[str], Column]], Column], check: Callable[[DataFrame], DataFrame], rounds: int, first: tuple[str | Column, ...] = (),
-    size: Callable[[Callable[[str], Column]], Column] | None = None, enough: Callable[[Column, Column, Column], Column] | None = None,
+    size: Callable[[Callable[[str], Column]], Column] | None = None, alike: Callable[[Column, Column], Column] | None = None, enough: Callable[[Column, Column, Column], Column] | None = None,
 ) -> DataFrame:
     """(node, comp) for the nodes that have a link; every pair that shares a key and fits is either checked or already connected.
 
@@ -31,8 +31,8 @@ def block_components(
     all pairs of a block that are still in different components. Blocks within one component are
     done. A group of copies so costs a few pairs for each member.
 
-    With size(row) and enough(keys, n, m), the last round counts the keys that a pair shares as it finds them, and keeps a pair
-    whose count is enough for its sizes: blocks that are left hold all keys that two nodes of different components share.
+    With size(row), alike(n, m) and enough(keys, n, m), the last round counts the keys that a pair of alike sizes shares as it finds them, and
+    keeps a pair whose count is enough for its sizes. alike is the part of fits that sizes alone decide, so it goes before the count: blocks that are left hold all keys that two nodes of different components share.
     """
     comp, links, tested = None, None, None
     for r in range(rounds):
@@ -54,7 +54,7 @@ def block_components(
             keep &= a("node") < b("node")
         ends = [F.least(a("node"), b("node")).alias("a"), F.greatest(a("node"), b("node")).alias("b")]
         if last and enough is not None:
-            apart = (a("comp") != b("comp")) & (a("node") < b("node"))
+            apart = (a("comp") != b("comp")) & (a("node") < b("node")) & alike(size(a), size(b))
             found = block.join(hubs, "key").filter(apart).select(*ends, fits(a, b).alias("fits"), size(a).alias("n"), size(b).alias("m"))
             counted = found.groupBy("a", "b").agg(F.count("*").alias("keys"), F.bool_or("fits").alias("fits"), F.max("n").alias("n"), F.max("m").alias("m"))
             pairs = counted.filter(F.col("fits") & enough(F.col("keys"), F.col("n"), F.col("m"))).select("a", "b")

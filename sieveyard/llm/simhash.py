@@ -15,8 +15,8 @@ from .components import connected_components
 #: A fingerprint is two longs: 128 signed votes.
 BITS = 128
 _LANES = 0x0000000100000001
-#: Parts that a text's index rows are dealt to when its partners are counted.
-SPREAD = 8
+#: Most hashes of 8 bytes that are broadcast to the texts, to find those that stand in a pair; more are joined by a shuffle of all texts.
+MOST_SENT = 1 << 21
 
 
 def terms(text: Column, size: int = 5) -> Column:
@@ -105,7 +105,7 @@ def like_texts(texts: DataFrame, percent: int = 80, size: int = 5, rounds: int =
     lie 20 to 26 bits apart, and tables that find all pairs so far apart have keys of 9 bits. So a block is an n-gram, and a text
     stands in those of its first n - ceil(percent * n / 100) + 1 n-grams under one order for all: of two linked
     texts, both then have one of them in common. Common n-grams come last in the order; which ones are known to be
-    changes the time, never the links. A pair must share as many keys as its sizes ask before its overlap
+    changes the time, never the links. In the last round, a pair must share as many keys as its sizes ask before its overlap
     is counted on whole sets.
     """
     common = common_terms(texts, size)
@@ -130,7 +130,10 @@ def like_texts(texts: DataFrame, percent: int = 80, size: int = 5, rounds: int =
         """Two sets of sizes n share at most what stands from their first common key on, in either prefix."""
         n, m = n_of(a("at")), n_of(b("at"))
         most = F.least(n - pos_of(a("at")), m - pos_of(b("at")))
-        return (F.lit(100 + percent) * most >= F.lit(percent) * (n + m)) & (F.lit(100) * F.least(n, m) >= F.lit(percent) * F.greatest(n, m))
+        return (F.lit(100 + percent) * most >= F.lit(percent) * (n + m)) & alike(n, m)
+
+    def alike(n: Column, m: Column) -> Column:
+        return F.lit(100) * F.least(n, m) >= F.lit(percent) * F.greatest(n, m)
 
     def enough(keys: Column, n: Column, m: Column) -> Column:
         """As many common keys as a link needs: what two sets share beyond the end of the prefix that ends first lies
@@ -138,25 +141,17 @@ def like_texts(texts: DataFrame, percent: int = 80, size: int = 5, rounds: int =
         most = keys + F.ceil(F.greatest(n, m) * percent / F.lit(100)) - 1
         return F.lit(100 + percent) * most >= F.lit(percent) * (n + m)
 
-    def enough_keys(pairs: DataFrame) -> DataFrame:
-        """Pairs with enough common keys. Rows are spread by b, so a text with many partners is not one task's."""
-        of_a = blocks.select(F.col("node").alias("a"), "key", F.col("at").alias("at_a"), F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))).alias("part"))
-        each = pairs.withColumn("part", F.pmod(F.xxhash64("b"), F.lit(SPREAD)).cast("int")).join(of_a, ["a", "part"])
-        each = each.join(blocks.select(F.col("node").alias("b"), "key", F.col("at").alias("at_b")), ["b", "key"])
-        counted = each.groupBy("a", "b").agg(F.count("*").alias("c"), n_of(F.max("at_a")).alias("n"), n_of(F.max("at_b")).alias("m"))
-        return counted.filter(enough(F.col("c"), F.col("n"), F.col("m"))).select("a", "b")
-
     def overlaps(pairs: DataFrame) -> DataFrame:
-        pairs = written(enough_keys(pairs), "simhash-candidates")
-        # Written first, so that Spark knows their size and sends them to the texts while they are few, and not the texts to them.
+        # Written first, so that their number is known: while they are few they go to the texts, and not the texts to them.
         members = written(pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct(), "simhash-named")
-        held = written(texts.join(members, "h").groupBy("h").agg(F.first("t").alias("t")), "simhash-members")
+        named = F.broadcast(members) if members.count() <= MOST_SENT else members
+        held = written(texts.join(named, "h").groupBy("h").agg(F.first("t").alias("t")), "simhash-members")
         joined = pairs.join(held.select(F.col("h").alias("a"), F.col("t").alias("ta")), "a").join(held.select(F.col("h").alias("b"), F.col("t").alias("tb")), "b")
         own, other = F.array_distinct(terms(F.col("ta"), size)), F.array_distinct(terms(F.col("tb"), size))
         counted = joined.select("a", "b", let(F.struct(own.alias("x"), other.alias("y")), lambda s: F.struct(F.size(F.array_intersect(s["x"], s["y"])).alias("both"), (F.size(s["x"]) + F.size(s["y"])).alias("sum"))).alias("c"))
         return counted.filter(F.lit(100) * F.col("c.both") >= F.lit(percent) * (F.col("c.sum") - F.col("c.both")))
 
-    return block_components(blocks, ["at"], bound, overlaps, rounds, (pos_of(F.col("at")),), lambda x: n_of(x("at")), enough).select(F.col("node").alias("h"), "comp")
+    return block_components(blocks, ["at"], bound, overlaps, rounds, (pos_of(F.col("at")),), lambda x: n_of(x("at")), alike, enough).select(F.col("node").alias("h"), "comp")
 
 
 def near_components(prints: DataFrame, radius: int = 4, rounds: int = 2, groups: DataFrame | None = None) -> DataFrame:
